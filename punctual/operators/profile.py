@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from itertools import combinations_with_replacement
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -81,25 +82,86 @@ def describe_groups(df: DataFrame, groups: Sequence[str], value: str) -> DataFra
     return summary.select(*groups, "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
+def _pair_moments(columns: Sequence[str]):
+    """Task-side half of the correlation matrix: moments of every column pair over a task's batches.
+
+    With NULL as NaN, masked matrix products give all pairwise-complete sums of a batch at once. A task
+    emits one row per pair, whatever the number of its rows.
+    """
+
+    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        width = len(columns)
+        upper = np.triu_indices(width)
+        rows = np.zeros((width, width))
+        mean_x, mean_y, square_x, square_y, product = (np.zeros((width, width)) for _ in range(5))
+        for batch in batches:
+            values = batch.to_numpy(dtype="float64", na_value=np.nan)
+            present = (~np.isnan(values)).astype("float64")
+            # Sums are taken around a point inside the batch, which keeps them exact for large offsets.
+            counted = present.sum(axis=0)
+            centre = np.where(counted > 0, np.nansum(values, axis=0) / np.maximum(counted, 1), 0.0)
+            shifted = np.where(present > 0, values - centre, 0.0)
+            n = present.T @ present
+            sum_x = shifted.T @ present
+            sum_y = sum_x.T
+            n_safe = np.maximum(n, 1)
+            batch_mean_x, batch_mean_y = sum_x / n_safe, sum_y / n_safe
+            squares = (shifted * shifted).T @ present
+            batch_xx = squares - sum_x * batch_mean_x
+            batch_yy = squares.T - sum_y * batch_mean_y
+            batch_xy = shifted.T @ shifted - sum_x * batch_mean_y
+            batch_mean_x, batch_mean_y = batch_mean_x + centre[:, None], batch_mean_y + centre[None, :]
+            total = np.maximum(rows + n, 1)
+            gap_x, gap_y, weight = batch_mean_x - mean_x, batch_mean_y - mean_y, rows * n / total
+            square_x += batch_xx + gap_x * gap_x * weight
+            square_y += batch_yy + gap_y * gap_y * weight
+            product += batch_xy + gap_x * gap_y * weight
+            mean_x += gap_x * n / total
+            mean_y += gap_y * n / total
+            rows += n
+        names = np.array(columns, dtype=object)
+        parts = {"n": rows, "mx": mean_x, "my": mean_y, "xx": square_x, "yy": square_y, "xy": product}
+        result = {"x": names[upper[0]], "y": names[upper[1]], **{k: m[upper] for k, m in parts.items()}}
+        yield pd.DataFrame(result)
+
+    return run
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int | None = None) -> DataFrame:
     """Pairwise-complete Pearson correlations as rows ``(x, y, corr)``, both orders, diagonal included.
 
-    One aggregation over one scan; only one row of partial sums per task is shuffled.
+    One pass over the columns; every task sends one row per pair. The built-in ``corr`` gives the same
+    numbers, but a projection with one ``corr`` per pair is too long for the JVM to compile.
     """
-    pairs = list(combinations_with_replacement(columns, 2))
-    wide = df.agg(
-        *[
-            F.corr(F.col(x).cast("double"), F.col(y).cast("double")).alias(f"_{position}")
-            for position, (x, y) in enumerate(pairs)
-        ]
+    numeric = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    schema = "x STRING, y STRING, n DOUBLE, mx DOUBLE, my DOUBLE, xx DOUBLE, yy DOUBLE, xy DOUBLE"
+    partial = numeric.mapInPandas(_pair_moments(list(columns)), schema).filter("n > 0")
+    pair = Window.partitionBy("x", "y")
+    n, mx, my = F.col("n"), F.col("mx"), F.col("my")
+    gap_x = mx - F.sum(n * mx).over(pair) / F.sum(n).over(pair)
+    gap_y = my - F.sum(n * my).over(pair) / F.sum(n).over(pair)
+    merged = (
+        partial.select(
+            "x",
+            "y",
+            (F.col("xx") + n * gap_x * gap_x).alias("xx"),
+            (F.col("yy") + n * gap_y * gap_y).alias("yy"),
+            (F.col("xy") + n * gap_x * gap_y).alias("xy"),
+        )
+        .groupBy("x", "y")
+        .agg(F.sum("xx").alias("xx"), F.sum("yy").alias("yy"), F.sum("xy").alias("xy"))
+    )
+    # A column without spread has no correlation.
+    spread = F.sqrt(F.col("xx")) * F.sqrt(F.col("yy"))
+    corr = F.when(F.col("x") == F.col("y"), F.try_divide(F.col("xx"), F.col("xx"))).otherwise(
+        F.try_divide(F.col("xy"), spread)
     )
-    cells = []
-    for position, (x, y) in enumerate(pairs):
-        value = F.nanvl(F.col(f"_{position}"), F.lit(None).cast("double"))
-        value = value if digits is None else F.round(value, digits)
-        for a, b in dict.fromkeys([(x, y), (y, x)]):
-            cells.append(([F.lit(a), F.lit(b)], value))
-    return _long_form(wide, cells, ["x", "y", "corr"])
+    corr = F.least(F.greatest(corr, F.lit(-1.0)), F.lit(1.0))
+    if digits is not None:
+        corr = F.round(corr, digits)
+    both_orders = F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y")))
+    cells = merged.select(corr.alias("corr"), F.inline(F.array_distinct(both_orders)))
+    return cells.select("x", "y", "corr")
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -120,23 +182,24 @@ def column_medians(df: DataFrame, columns: Sequence[str], accuracy: int | None =
         wide = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(c) for c in columns])
         cells = [([F.lit(c)], F.coalesce(F.col(c), F.lit(0.0))) for c in columns]
         return _long_form(wide, cells, ["column", "median"])
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
     # NULL values are counted too, so that a column without any value keeps its row.
-    long = df.select(F.inline(cells)).groupBy("column", "value").agg(F.count(F.lit(1)).alias("_n"))
-    medians = _summarise(long.filter("value IS NOT NULL"), ["column"], "value", {"median": 0.5})
-    names = long.select("column").distinct()
-    return names.join(medians, "column", "left").fillna({"median": 0.0})
+    values = F.array(*[F.col(c).cast("double") for c in columns])
+    counts = df.select(F.posexplode(values).alias("_at", "value")).groupBy("_at", "value").agg(F.count(F.lit(1)).alias("_n"))
+    medians = _summarise(counts.filter("value IS NOT NULL"), ["_at"], "value", {"median": 0.5})
+    positions = counts.select("_at").distinct()
+    name = F.element_at(F.array(*map(F.lit, columns)), F.col("_at") + 1)
+    found = positions.join(medians, "_at", "left")
+    return found.select(name.alias("column"), F.coalesce("median", F.lit(0.0)).alias("median"))
 
 
 def profile_table(df: DataFrame) -> DataFrame:
-    """One row per column: type, rows, nulls, approximate distinct values, minimum and maximum as text."""
+    """One row per column without nested values: type, rows, nulls, minimum and maximum as text."""
     simple = [f for f in df.schema.fields if f.dataType.typeName() not in ("array", "struct", "map")]
     aggregates = [F.count(F.lit(1)).alias("_rows")]
     for field in simple:
         column = F.col(f"`{field.name}`")
         aggregates += [
             F.count_if(column.isNull()).alias(f"{field.name}#nulls"),
-            F.approx_count_distinct(column).alias(f"{field.name}#distinct"),
             F.min(column).cast("string").alias(f"{field.name}#min"),
             F.max(column).cast("string").alias(f"{field.name}#max"),
         ]
@@ -146,7 +209,7 @@ def profile_table(df: DataFrame) -> DataFrame:
             F.lit(field.name).alias("column"),
             F.lit(field.dataType.simpleString()).alias("type"),
             F.col("_rows").alias("rows"),
-            *[F.col(f"`{field.name}#{part}`").alias(part) for part in ("nulls", "distinct", "min", "max")],
+            *[F.col(f"`{field.name}#{part}`").alias(part) for part in ("nulls", "min", "max")],
         )
         for field in simple
     ]

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text, times
 from ..functions import observations as decode
-from ..operators import asof, joins, profile, timeframes
+from ..operators import asof, joins, profile, shaping, timeframes
 from ..session import scratch_path
 from ..sources import files, observations
 from ..sources.tables import asof_sides, legs, raw_observation_lines, table
@@ -448,6 +448,11 @@ def _finish(stream_query) -> None:
         raise stream_query.exception()
 
 
+def _event_stream(spark, folder):
+    """The events as a file stream; the pattern fits a single file and a folder of part files."""
+    return sinks.file_stream(spark, f"{folder}/events.parquet*", table(spark, folder, "events").schema)
+
+
 @query
 def replay_envelopes(spark, folder):
     counts = envelopes.slot_counts(table(spark, folder, "events"), "ts")
@@ -470,11 +475,10 @@ def stream_flatten(spark, folder):
 @query
 def stream_rolling(spark, folder):
     """Counts and sums per event type over 15 minutes, 1 hour, 1 day, and hours sliding by 15 minutes."""
-    schema = table(spark, folder, "events").schema
     started = []
     for width, slide in [*[(w, None) for w in rolling.WIDTHS], ("1 hour", "15 minutes")]:
         # Files of a shared folder come in no special order, so the whole span counts as on time.
-        stream = rolling.event_time(sinks.file_stream(spark, f"{folder}/events.parquet", schema), "ts", "60 days")
+        stream = rolling.event_time(_event_stream(spark, folder), "ts", "60 days")
         metrics = {"num_events": F.count(F.lit(1)), "total": F.sum(F.col("value").cast("decimal(18,2)"))}
         windows = rolling.windowed_metrics(stream, "ts", ["event_type"], metrics, width, slide)
         out = scratch_path(spark, "rolling")
@@ -497,8 +501,7 @@ def stream_rolling(spark, folder):
 @query
 def stream_distinct(spark, folder):
     """Event types per hour and user, each reported once, with the state bounded by a watermark."""
-    schema = table(spark, folder, "events").schema
-    stream = sinks.file_stream(spark, f"{folder}/events.parquet", schema)
+    stream = _event_stream(spark, folder)
     hourly = rolling.event_time(stream.withColumn("ts", F.date_trunc("hour", "ts")), "ts", "60 days")
     keys = ["user_id", "event_type", "ts"]
     out = scratch_path(spark, "distinct")
@@ -510,9 +513,7 @@ def stream_distinct(spark, folder):
 @query
 def stream_enrich(spark, folder):
     """A stream of legs with the latest observation of the last week attached."""
-    events = table(spark, folder, "events")
-    stream = sinks.file_stream(spark, f"{folder}/events.parquet", events.schema)
-    arriving = stream.filter("event_type = 'purchase'").select(
+    arriving = _event_stream(spark, folder).filter("event_type = 'purchase'").select(
         "event_id", F.col("user_id").alias("station"), F.col("ts").alias("leg_time")
     )
     _, seen = asof_sides(spark, folder)
@@ -559,7 +560,7 @@ def _prepared(spark, folder):
     view = legs(spark, folder, *SPEC.inputs)
     raw_train, raw_test = model.train_test(features.labelled(features.raw_features(view, SPEC)), KEY)
     fills = features.fit_fills(raw_train, SPEC)
-    filled = [features.shaping.fill_nulls(part, fills) for part in (raw_train, raw_test)]
+    filled = [shaping.fill_nulls(part, fills) for part in (raw_train, raw_test)]
     return filled[0], filled[1], fills
 
 
@@ -653,7 +654,8 @@ def grid_search(spark, folder):
 @query
 def half_year_models(spark, folder):
     view = features.labelled(features.raw_features(legs(spark, folder, *SPEC.inputs), SPEC))
-    return model.compare_ranges(spark, SPEC, view, KEY, model.random_forest(trees=5, depth=4, seed=42))
+    forest = model.random_forest(trees=5, depth=4, seed=42)
+    return model.compare_ranges(view, SPEC, KEY, forest, scratch_path(spark, "half-years"))
 
 
 @query

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
@@ -15,8 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..operators.shaping import fill_nulls
 from ..sources.dimensions import literal_table
-from .features import FeatureSpec
+from ..sources.files import write_partitioned
+from .features import FeatureSpec, fit_fills
 
 
 def split_column(key: str, train_percent: int = 80, seed: int = 42):
@@ -256,47 +258,37 @@ def grid_results(spark: SparkSession, search: CrossValidatorModel) -> DataFrame:
     rows = []
     for params, metric in zip(search.getEstimatorParamMaps(), search.avgMetrics):
         chosen = ", ".join(sorted(f"{param.name}={value}" for param, value in params.items()))
-        rows.append((chosen, float(metric), metric == best))
+        rows.append((chosen, float(metric), bool(metric == best)))
     return literal_table(spark, rows, "parameters STRING, roc_auc DOUBLE, best BOOLEAN")
 
 
-def half_years(first: date, last: date) -> list[tuple[date, date]]:
-    """Half-open ranges of six calendar months that cover two dates."""
-    start = date(first.year, 1 if first.month <= 6 else 7, 1)
-    ranges = []
-    while start <= last:
-        end = date(start.year, 7, 1) if start.month == 1 else date(start.year + 1, 1, 1)
-        ranges.append((start, end))
-        start = end
-    return ranges
-
-
 def compare_ranges(
-    spark: SparkSession, spec: FeatureSpec, features: DataFrame, key: str, classifier: Estimator
+    raw: DataFrame, spec: FeatureSpec, key: str, classifier: Estimator, stored: str, day: str = "leg_day"
 ) -> DataFrame:
-    """Train and evaluate one model per half-year; one metrics row per range.
+    """Train and evaluate one model per half-year of unfilled features; one metrics row per range.
 
-    The loop runs over half-years, of which a century has two hundred; each fit is a distributed job.
+    The features are stored once, by half-year, under ``stored``; each fit then reads its own folder. The
+    loop runs over half-years, of which a century has two hundred; each fit is a distributed job. The fill
+    values come from the range's own training rows. A range whose training rows have one label only gets
+    no model and no row.
     """
-    bounds = features.agg(F.min("leg_day"), F.max("leg_day")).first()
-    result = None
-    for start, end in half_years(bounds[0], bounds[1]):
-        inside = features.filter((F.col("leg_day") >= F.lit(start)) & (F.col("leg_day") < F.lit(end)))
-        training, test = train_test(inside, key)
-        if training.select("label").distinct().count() < 2:
-            continue
-        scored = score(fit(spec, training, classifier), test)
-        row = metrics_table(scored).select(
-            F.lit(start.isoformat()).alias("range_start"),
-            F.lit((end - timedelta(days=1)).isoformat()).alias("range_end"),
-            "*",
-        )
-        result = row if result is None else result.unionByName(row)
-    return result
+    spark = raw.sparkSession
+    half = F.concat_ws("-", F.year(day), F.when(F.month(day) <= 6, 1).otherwise(2))
+    write_partitioned(tag_split(raw, key).withColumn("half_year", half), stored, ["half_year", "split"])
+    features = spark.read.parquet(stored)
+    labels = features.filter("split = 'train'").groupBy("half_year").agg(F.count_distinct("label").alias("labels"))
+    ranges = [row["half_year"] for row in labels.filter("labels > 1").orderBy("half_year").limit(10_000).collect()]
+    rows = []
+    for name in ranges:
+        inside = features.filter(F.col("half_year") == name)
+        training, test = (inside.filter(F.col("split") == part) for part in ("train", "test"))
+        fills = fit_fills(training, spec)
+        fitted = fit(spec, fill_nulls(training, fills), classifier)
+        metrics = metrics_table(score(fitted, fill_nulls(test, fills)))
+        rows.append(metrics.select(F.lit(name).alias("half_year"), "*"))
+    return reduce(DataFrame.unionByName, rows)
 
 
 def write_splits(features: DataFrame, key: str, path: str) -> None:
     """Store the split as a tag and a folder, so that experiments share it."""
-    tag_split(features, key).hint("rebalance", "split").write.mode("overwrite").partitionBy("split").parquet(path)
-
-
+    write_partitioned(tag_split(features, key), path, ["split"])

@@ -122,10 +122,17 @@ MEASURES = (
     "dep_hhmm", "arr_hhmm", "dep_delay", "dep_delay_minutes", "arr_delay", "arr_delay_minutes", "elapsed",
     "carrier_delay", "weather_delay", "nas_delay", "security_delay", "late_aircraft_delay",
 )
-PROFILED = (
-    "carrier", "dep_del15", "weather_delay", "origin_wind_speed", "origin_visibility", "origin_clouds",
-    "dest_precipitation", "origin_wind_gusts", "leg_date",
-)
+PROFILED = {
+    "carrier": "string",
+    "dep_del15": "double",
+    "weather_delay": "double",
+    "origin_wind_speed": "int",
+    "origin_visibility": "double",
+    "origin_clouds": "array<string>",
+    "dest_precipitation": "array<string>",
+    "origin_wind_gusts": "int",
+    "leg_date": "date",
+}
 FEATURE_NUMBERS = (
     "year", "month", "day_of_month", "day_of_week", "origin_wind_direction", "origin_wind_speed",
     "origin_visibility", "dest_wind_direction", "dest_wind_speed", "dest_visibility",
@@ -395,6 +402,14 @@ ORACLES: dict[str, str] = {
             for c in FEATURE_NUMBERS
         )
     ),
+    "table_profile": _legs(
+        _union(
+            f"""SELECT '{c}' AS "column", '{kind}' AS type, count(*) AS rows, count(*) - count({c}) AS nulls,
+            CAST(min({c}) AS VARCHAR) AS min, CAST(max({c}) AS VARCHAR) AS max FROM legs"""
+            for c, kind in PROFILED.items()
+            if not kind.startswith("array")
+        )
+    ),
     "station_timeframes": _legs(
         f""", {FRAMES} SELECT station, role, strftime(window_start, {SECONDS}) AS window_start,
         strftime(window_end, {SECONDS}) AS window_end, strftime(start_date, {SECONDS}) AS start_date,

@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 def file_stream(
     spark: SparkSession, path: str, schema: StructType, kind: str = "parquet", files_per_batch: int | None = None
 ) -> DataFrame:
-    """A folder that receives files, as a stream."""
+    """A folder that receives files, or a pattern for such folders and files, as a stream."""
     reader = spark.readStream.schema(schema).format(kind)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
