@@ -254,11 +254,12 @@ REDUCED_GRID = {"maxDepth": [3, 5], "maxIter": [40, 80], "stepSize": [0.1]}
 
 def grid_results(spark: SparkSession, search: CrossValidatorModel) -> DataFrame:
     """One row per grid point: parameters as text, mean area under the curve, best or not."""
-    best = max(search.avgMetrics)
+    # The search keeps the first of several equally good points.
+    best = list(search.avgMetrics).index(max(search.avgMetrics))
     rows = []
-    for params, metric in zip(search.getEstimatorParamMaps(), search.avgMetrics):
+    for position, params in enumerate(search.getEstimatorParamMaps()):
         chosen = ", ".join(sorted(f"{param.name}={value}" for param, value in params.items()))
-        rows.append((chosen, float(metric), bool(metric == best)))
+        rows.append((chosen, float(search.avgMetrics[position]), position == best))
     return literal_table(spark, rows, "parameters STRING, roc_auc DOUBLE, best BOOLEAN")
 
 
