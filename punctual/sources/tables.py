@@ -150,10 +150,16 @@ def legs(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     """Leg view with just the wanted columns and just the joins that these need.
 
     The dimensions are joined by their primary keys and as left joins, so leaving one out changes no row.
-    Customers and nations are joined to the orders first; the line items are shuffled by order once.
+    Suppliers come first, so that a filter on the origin cuts the line items before they meet the orders.
+    Customers and nations are joined to the orders, not to the larger line items.
     """
     needed = {LEG_COLUMNS[column][0] for column in columns}
     view = table(spark, folder, "lineitem")
+    if "supplier" in needed:
+        nation = table(spark, folder, "nation").select("n_nationkey", F.col("n_name").alias("origin_city"))
+        supplier = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
+        supplier = supplier.join(nation, supplier["s_nationkey"] == nation["n_nationkey"], "left")
+        view = view.join(supplier, F.col("l_suppkey") == supplier["s_suppkey"], "left")
     if needed & {"orders", "customer"}:
         orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
         if "customer" in needed:
@@ -162,11 +168,6 @@ def legs(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
             customer = customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"], "left")
             orders = orders.join(customer, orders["o_custkey"] == customer["c_custkey"], "left")
         view = view.join(orders, view["l_orderkey"] == orders["o_orderkey"], "left")
-    if "supplier" in needed:
-        nation = table(spark, folder, "nation").select("n_nationkey", F.col("n_name").alias("origin_city"))
-        supplier = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
-        supplier = supplier.join(nation, supplier["s_nationkey"] == nation["n_nationkey"], "left")
-        view = view.join(supplier, F.col("l_suppkey") == supplier["s_suppkey"], "left")
     if "part" in needed:
         part = table(spark, folder, "part").select("p_partkey", "p_name", "p_type", "p_size")
         view = view.join(part, F.col("l_partkey") == part["p_partkey"], "left")

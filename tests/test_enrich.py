@@ -48,7 +48,8 @@ def written(spark, tmp_path_factory):
     (folder / "legs.csv").write_text("\n".join(lines) + "\n")
     (folder / "raw.txt").write_text("\n".join(["station\tvalid\tmetar", *LINES]) + "\n")
     out = str(folder / "out")
-    return enrich.run(spark, str(folder / "legs.csv"), str(folder / "raw.txt"), out), folder
+    seen = str(folder / "observations")
+    return enrich.run(spark, str(folder / "legs.csv"), str(folder / "raw.txt"), seen, out), folder
 
 
 def test_shape(written):
@@ -59,6 +60,12 @@ def test_shape(written):
     assert (folder / "out" / "Year=2024" / "Month=2").is_dir()
 
 
+def test_rejects_are_stored_beside_the_usable_lines(spark, written):
+    _, folder = written
+    stored = spark.read.parquet(str(folder / "observations"))
+    assert {r["status"]: r["count"] for r in stored.groupBy("status").count().collect()} == {"accepted": 4, "no time": 1}
+
+
 def test_weather_is_the_latest_before_departure_in_utc(written):
     table, _ = written
     row = table.filter("CRSDepTime = 930").first()
@@ -88,7 +95,7 @@ def test_weather_at_arrival_is_an_option(spark, written):
     raw = observations.read_raw_observations(spark, str(folder / "raw.txt"))
     from punctual.sources.dimensions import airports
 
-    joined = enrich.enrich(legs.drop("Origin"), airports(spark), raw, dest_at_arrival=True)
+    joined = enrich.enrich(legs, airports(spark), observations.decode_observations(raw), dest_at_arrival=True)
     assert joined.filter("DestAirportID = 10397").first()["DestVisibility"] == 3.0
 
 
