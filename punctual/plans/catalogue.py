@@ -546,6 +546,43 @@ def split_sample(spark, folder):
     return tagged.groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def _rule_scored(spark, folder):
+    """All labelled legs, called late from noon on."""
+    view = legs(spark, folder, "carrier", "leg_date", "dep_hhmm", "dep_del15").select(
+        "carrier",
+        F.col("leg_date").alias("leg_day"),
+        times.hhmm_hour("dep_hhmm").alias("dep_hour"),
+        F.col("dep_del15").cast("int").alias("label"),
+    )
+    return model.rule_scores(features.labelled(view), F.col("dep_hour") >= 12)
+
+
+@query
+def rule_metrics(spark, folder):
+    return model.metrics_table(_rule_scored(spark, folder))
+
+
+@query
+def rule_confusion(spark, folder):
+    return model.confusion(_rule_scored(spark, folder))
+
+
+@query
+def rule_segment_error(spark, folder):
+    return model.error_by_segment(_rule_scored(spark, folder), "carrier", "dep_hour")
+
+
+@query
+def rule_performance_over_time(spark, folder):
+    return model.performance_over_time(_rule_scored(spark, folder)).withColumn("week", times.second_text("week"))
+
+
+@query
+def class_weights(spark, folder):
+    labels = legs(spark, folder, "dep_del15").select(F.col("dep_del15").cast("int").alias("label"))
+    return model.class_weights(features.labelled(labels))
+
+
 @query
 def seeded_sample(spark, folder):
     sampled = model.seeded_sample(_from_one_origin(spark, folder, *MEASURES), 0.1)

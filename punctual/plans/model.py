@@ -11,20 +11,21 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators.shaping import fill_nulls
 from ..sources.dimensions import literal_table
 from ..sources.files import write_partitioned
-from .features import FeatureSpec, fit_fills
+from .features import FeatureSpec, build_features, fit_fills, scoring_row_to_leg
 
 
-def split_column(key: str, train_percent: int = 80, seed: int = 42):
-    """``train`` or ``test`` by a hash of the row key: the same row falls on the same side in any run,
-    after any repartitioning and when a lost task is computed again."""
-    bucket = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(100))
+def split_column(key: str, train_percent: int = 80, seed: int = 42) -> Column:
+    """``train`` or ``test`` by a hash of the row key: the same row falls on the same side in any run and
+    any engine, after any repartitioning and when a lost task is computed again."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
+    bucket = F.conv(F.substring(digest, 1, 7), 16, 10).cast("int") % 100
     return F.when(bucket < train_percent, "train").otherwise("test")
 
 
@@ -81,13 +82,17 @@ def pipeline(
     return Pipeline(stages=[*stages, classifier])
 
 
-def with_class_weight(training: DataFrame, weight: str = "weight") -> DataFrame:
-    """Weight rows so that both labels count the same in total; pass ``weightCol`` to the classifier."""
+def class_weights(training: DataFrame, weight: str = "weight") -> DataFrame:
+    """Weight per label value with which both labels count the same in total."""
     shares = training.groupBy("label").agg(F.count(F.lit(1)).alias("_rows"))
     totals = shares.agg(F.struct(F.sum("_rows").alias("rows"), F.count(F.lit(1)).alias("labels"))).scalar()
+    return shares.select("label", (totals["rows"] / (totals["labels"] * F.col("_rows"))).alias(weight))
+
+
+def with_class_weight(training: DataFrame, weight: str = "weight") -> DataFrame:
+    """Add the weight column that a classifier takes as ``weightCol``."""
     # One row per label value: the size is fixed by the label, not by the data.
-    weights = shares.select("label", (totals["rows"] / (totals["labels"] * F.col("_rows"))).alias(weight))
-    return training.join(F.broadcast(weights), "label")
+    return training.join(F.broadcast(class_weights(training, weight)), "label")
 
 
 def fit(spec: FeatureSpec, training: DataFrame, classifier: Estimator, **options) -> PipelineModel:
@@ -114,6 +119,18 @@ def score(model: PipelineModel, features: DataFrame) -> DataFrame:
     ).drop("probability", *helpers)
 
 
+def rule_scores(features: DataFrame, late_when: Column) -> DataFrame:
+    """A rule in the place of a model, as the baseline that a model has to beat."""
+    says_late = F.when(late_when, 1).otherwise(0)
+    return features.withColumns({"prediction": says_late, "delay_probability": says_late.cast("double")})
+
+
+def score_typed_rows(model: PipelineModel, rows: DataFrame, spec: FeatureSpec, fills: Mapping[str, float]) -> DataFrame:
+    """Scores for hand-typed legs, by the same feature build as everywhere else."""
+    built = build_features(scoring_row_to_leg(rows), spec, fills)
+    return score(model, built).select(*spec.categories, "prediction", "delay_probability")
+
+
 def score_date(model: PipelineModel, features: DataFrame, day: str, columns: Sequence[str]) -> DataFrame:
     """Scored legs of one date in order of departure, with the printed labels.
 

@@ -226,6 +226,28 @@ def _feature_table() -> str:
     )
 
 
+RULE = """, r AS (
+  SELECT carrier, leg_date, CAST(dep_hhmm // 100 AS INTEGER) AS dep_hour, CAST(dep_del15 AS INTEGER) AS label,
+         CASE WHEN dep_hhmm >= 1200 THEN 1 ELSE 0 END AS prediction
+  FROM legs WHERE dep_del15 IS NOT NULL)"""
+
+
+def _metrics(week: str = "") -> str:
+    """Accuracy and the two classes' scores from the four cell counts."""
+    group = "GROUP BY week" if week else ""
+    picked = f"strftime(week, {SECONDS}) AS week, " if week else ""
+    return f"""{RULE}, c AS (SELECT {week}
+        CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (label = 1 AND prediction = 1) AS DOUBLE) AS tp,
+        CAST(count(*) FILTER (label = 0 AND prediction = 1) AS DOUBLE) AS fp,
+        CAST(count(*) FILTER (label = 1 AND prediction = 0) AS DOUBLE) AS fn,
+        CAST(count(*) FILTER (label = 0 AND prediction = 0) AS DOUBLE) AS tn FROM r {group})
+    SELECT {picked} CAST(n AS BIGINT) AS rows, (tp + tn) / n AS accuracy,
+      coalesce(tp / nullif(tp + fp, 0), 0.0) AS precision, coalesce(tp / nullif(tp + fn, 0), 0.0) AS recall,
+      (coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0.0) * (tp + fn)
+       + coalesce(2 * tn / nullif(2 * tn + fn + fp, 0), 0.0) * (tn + fp)) / n AS f1
+    FROM c"""
+
+
 VALID_EVENT = "event_id % 97 <> 96"
 STATION = "'K' || lpad(CAST(user_id % 1000 AS VARCHAR), 3, '0')"
 
@@ -498,4 +520,23 @@ ORACLES: dict[str, str] = {
         SELECT l.event_id, l.station, CASE WHEN o.obs_time >= l.leg_time - INTERVAL 7 DAY THEN o.value END AS obs_value
         FROM l ASOF LEFT JOIN o ON l.station = o.station AND l.leg_time >= o.obs_time""",
     "feature_table": _feature_table(),
+    "split_sample": _legs(
+        """SELECT CASE WHEN CAST('0x' || substr(md5('42:' || CAST(leg_id AS VARCHAR)), 1, 7) AS BIGINT) % 100 < 80
+           THEN 'train' ELSE 'test' END AS split, count(*) AS rows FROM legs GROUP BY 1"""
+    ),
+    "rule_metrics": _legs(_metrics()),
+    "rule_confusion": _legs(f"{RULE} SELECT label, prediction, count(*) AS rows FROM r GROUP BY 1, 2"),
+    "rule_segment_error": _legs(
+        f"""{RULE} SELECT carrier, dep_hour, count(*) AS rows, count(*) FILTER (label <> prediction) AS errors,
+        CAST(count(*) FILTER (label <> prediction) AS DOUBLE) / count(*) AS error_rate,
+        avg(CAST(prediction AS DOUBLE)) AS avg_delay_probability FROM r GROUP BY 1, 2"""
+    ),
+    "rule_performance_over_time": _legs(
+        _metrics("time_bucket(INTERVAL 7 DAY, CAST(leg_date AS TIMESTAMP), TIMESTAMP '1970-01-01') AS week,")
+    ),
+    "class_weights": _legs(
+        """SELECT CAST(dep_del15 AS INTEGER) AS label,
+        CAST(sum(count(*)) OVER () AS DOUBLE) / (count(*) OVER () * count(*)) AS weight
+        FROM legs WHERE dep_del15 IS NOT NULL GROUP BY dep_del15"""
+    ),
 }

@@ -16,6 +16,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A skewed side is split even where that costs one more exchange further up the plan.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JVM never compiles methods above 8000 bytes; longer generated methods would run interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from punctual.plans import enrich, features, lookup
+from punctual.plans import enrich, features, lookup, model
 from punctual.sources import files, observations, schemas
 
 
@@ -140,6 +140,17 @@ def test_hand_typed_leg(spark):
     assert (got["DepHour"], got["DepMinute"], got["ArrHour"], got["DayOfWeek"]) == (9.0, 30.0, 11.0, 4.0)
     assert (got["OriginPrecipitation"], got["OriginClouds"], got["OriginWindSpeed"]) == ("None", "FEW", 5.0)
     assert got["label"] is None
+    table = spark.range(200).selectExpr(
+        "'AA' AS Marketing_Airline_Network", "'OH' AS Operating_Airline", "'CLT' AS Origin", "'MIA' AS Dest",
+        "CAST(id % 24 * 100 AS INT) AS CRSDepTime", "CAST(id % 24 * 100 AS INT) AS CRSArrTime",
+        "DATE'2024-01-01' AS FlightDate", "CAST(id % 24 > 12 AS DOUBLE) AS DepDel15",
+        *[f"array('x') AS {c}" for c in features.PUBLISHED.lists],
+    )
+    fitted = model.fit(
+        features.PUBLISHED, features.build_features(table, features.PUBLISHED, {}), model.boosted_trees(2, 2)
+    )
+    scored = model.score_typed_rows(fitted, df, features.PUBLISHED, {c: 0.0 for c in features.PUBLISHED.numbers})
+    assert [r["prediction"] for r in scored.collect()] == [0]
 
 
 def test_fill_values_round_trip(spark, tmp_path):
