@@ -135,11 +135,11 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int | None
     """
     numeric = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     schema = "x STRING, y STRING, n DOUBLE, mx DOUBLE, my DOUBLE, xx DOUBLE, yy DOUBLE, xy DOUBLE"
-    partial = numeric.mapInPandas(_pair_moments(list(columns)), schema).filter("n > 0")
+    partial = numeric.mapInPandas(_pair_moments(list(columns)), schema)
     pair = Window.partitionBy("x", "y")
     n, mx, my = F.col("n"), F.col("mx"), F.col("my")
-    gap_x = mx - F.sum(n * mx).over(pair) / F.sum(n).over(pair)
-    gap_y = my - F.sum(n * my).over(pair) / F.sum(n).over(pair)
+    gap_x = mx - F.try_divide(F.sum(n * mx).over(pair), F.sum(n).over(pair))
+    gap_y = my - F.try_divide(F.sum(n * my).over(pair), F.sum(n).over(pair))
     merged = (
         partial.select(
             "x",
@@ -156,7 +156,8 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int | None
     corr = F.when(F.col("x") == F.col("y"), F.try_divide(F.col("xx"), F.col("xx"))).otherwise(
         F.try_divide(F.col("xy"), spread)
     )
-    corr = F.least(F.greatest(corr, F.lit(-1.0)), F.lit(1.0))
+    # Rounding errors may step over the limits; NULL stays NULL, which least and greatest would skip.
+    corr = F.when(corr.isNotNull(), F.least(F.greatest(corr, F.lit(-1.0)), F.lit(1.0)))
     if digits is not None:
         corr = F.round(corr, digits)
     both_orders = F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y")))

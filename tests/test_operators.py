@@ -104,7 +104,8 @@ def test_correlations_like_pandas(spark):
     for x in ("a", "b", "c"):
         for y in ("a", "b", "c"):
             assert got[x, y] == pytest.approx(wanted.loc[x, y], abs=1e-6)
-    assert got["a", "flat"] is None and got["flat", "flat"] is None and ("empty", "empty") not in got or got.get(("empty", "empty")) is None
+    assert len(got) == len(names) ** 2
+    assert all(got[pair] is None for pair in (("a", "flat"), ("flat", "flat"), ("empty", "empty"), ("a", "empty")))
 
 
 def test_null_profile(spark, rows):
