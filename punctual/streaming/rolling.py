@@ -44,3 +44,14 @@ def windowed_metrics(
             *metrics,
         )
     )
+
+
+def roll_up(
+    fine: DataFrame, keys: Sequence[str], sums: Sequence[str], width: str, slide: str | None = None
+) -> DataFrame:
+    """Wider windows from narrow ones, for metrics that add up.
+
+    The width (and the slide) must be a multiple of the narrow width. One stream then keeps state for the
+    narrow windows only, and every other width is read off its output.
+    """
+    return windowed_metrics(fine, "window_start", keys, {name: F.sum(name) for name in sums}, width, slide)

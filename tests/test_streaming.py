@@ -64,6 +64,15 @@ def test_stream_windows_equal_batch_windows(spark, tmp_path, rows):
         assert rows(state) == rows(batch)
 
 
+def test_rolled_up_windows_equal_direct_windows(spark, rows):
+    table = events(spark, [0, 3, 14, 15, 16, 44, 59, 60, 200, 1500])
+    metrics = {"n": F.count(F.lit(1)), "total": F.sum("v")}
+    fine = rolling.windowed_metrics(table, "at", ["k"], metrics, "15 minutes")
+    for width, slide in (("1 hour", None), ("1 day", None), ("1 hour", "15 minutes")):
+        direct = rolling.windowed_metrics(table, "at", ["k"], metrics, width, slide)
+        assert rows(rolling.roll_up(fine, ["k"], ["n", "total"], width, slide)) == rows(direct)
+
+
 def test_append_mode_drops_late_rows_and_holds_open_windows(spark, tmp_path):
     folder = tmp_path / "in"
     for minutes in ([0, 5], [120], [130], [6], [300]):
