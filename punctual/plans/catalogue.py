@@ -535,9 +535,8 @@ KEY = "leg_id"
 
 @query
 def feature_table(spark, folder):
-    return features.with_missing_filled(legs(spark, folder, *SPEC.inputs), SPEC).withColumn(
-        "leg_day", times.day_text("leg_day")
-    )
+    view, numbers = (legs(spark, folder, *columns) for columns in (SPEC.inputs, SPEC.number_inputs))
+    return features.with_missing_filled(view, SPEC, numbers).withColumn("leg_day", times.day_text("leg_day"))
 
 
 @query
@@ -594,11 +593,11 @@ _TRAINED: dict[tuple, tuple] = {}
 
 def _prepared(spark, folder):
     """Training and test features, with the fills of the training rows."""
-    view = legs(spark, folder, *SPEC.inputs)
-    raw_train, raw_test = model.train_test(features.labelled(features.raw_features(view, SPEC)), KEY)
-    fills = features.fit_fills(raw_train, SPEC)
-    filled = [shaping.fill_nulls(part, fills) for part in (raw_train, raw_test)]
-    return filled[0], filled[1], fills
+    raw = features.labelled(features.raw_features(legs(spark, folder, *SPEC.inputs), SPEC))
+    numbers = features.number_features(legs(spark, folder, *SPEC.number_inputs), SPEC)
+    fills = features.fit_fills(model.train_test(numbers, KEY)[0], SPEC)
+    training, test = model.train_test(raw, KEY)
+    return shaping.fill_nulls(training, fills), shaping.fill_nulls(test, fills), fills
 
 
 def _trained(spark, folder):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text, times
@@ -44,6 +44,13 @@ class FeatureSpec:
         return list(dict.fromkeys([*plain, *self.category_columns, *self.numbers, *self.passed_on]))
 
 
+    @property
+    def number_inputs(self) -> list[str]:
+        """Columns that the number features alone need."""
+        plain = [self.date, self.dep_hhmm, self.arr_hhmm, self.label]
+        return list(dict.fromkeys([*plain, *self.numbers, *self.passed_on]))
+
+
 TIME_FEATURES = ("DepHour", "ArrHour", "DepMinute", "ArrMinute", "is_weekend")
 
 # The published data set's column names.
@@ -91,29 +98,44 @@ STAND_IN = FeatureSpec(
 )
 
 
+def number_features(legs: DataFrame, spec: FeatureSpec) -> DataFrame:
+    """The number features before filling, with the label (NULL where unknown or where the table has none)."""
+    legs = shaping.add_missing(shaping.strip_header_spaces(legs), spec.numbers)
+    return legs.select(*spec.passed_on, *_numbers(spec), _label(legs, spec))
+
+
+def _numbers(spec: FeatureSpec) -> list[Column]:
+    derived = {
+        "DepHour": times.hhmm_hour(spec.dep_hhmm),
+        "ArrHour": times.hhmm_hour(spec.arr_hhmm),
+        "DepMinute": times.hhmm_minute(spec.dep_hhmm),
+        "ArrMinute": times.hhmm_minute(spec.arr_hhmm),
+        "is_weekend": times.weekend_flag(F.to_date(spec.date)),
+    }
+    plain = {name: F.col(name) for name in spec.numbers}
+    return [column.cast("double").alias(name) for name, column in {**plain, **derived}.items()]
+
+
+def _label(legs: DataFrame, spec: FeatureSpec) -> Column:
+    label = F.col(spec.label) if spec.label in legs.columns else F.lit(None)
+    return label.cast("int").alias("label")
+
+
 def raw_features(legs: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """Derived features before filling; the label is NULL where unknown or where the table has none."""
-    legs = shaping.strip_header_spaces(legs)
-    legs = shaping.add_missing(legs, spec.numbers)
+    """All features before filling; lists and missing categories as text."""
+    legs = shaping.add_missing(shaping.strip_header_spaces(legs), spec.numbers)
     types = dict(legs.dtypes)
-    date = F.to_date(spec.date)
     as_text = [
         (text.list_label(c) if types[c].startswith("array") else F.coalesce(F.col(c), F.lit("None"))).alias(c)
         for c in spec.category_columns
     ]
-    label = F.col(spec.label).cast("int") if spec.label in types else F.lit(None).cast("int")
     return legs.select(
         *spec.passed_on,
-        date.alias("leg_day"),
+        F.to_date(spec.date).alias("leg_day"),
         *as_text,
-        *[F.col(c).cast("double").alias(c) for c in spec.numbers],
-        times.hhmm_hour(spec.dep_hhmm).cast("double").alias("DepHour"),
-        times.hhmm_hour(spec.arr_hhmm).cast("double").alias("ArrHour"),
-        times.hhmm_minute(spec.dep_hhmm).cast("double").alias("DepMinute"),
-        times.hhmm_minute(spec.arr_hhmm).cast("double").alias("ArrMinute"),
-        times.weekend_flag(date).cast("double").alias("is_weekend"),
+        *_numbers(spec),
         times.minutes_of_day(spec.dep_hhmm).alias("dep_minute_of_day"),
-        label.alias("label"),
+        _label(legs, spec),
     )
 
 
@@ -128,10 +150,15 @@ def build_features(legs: DataFrame, spec: FeatureSpec, fills: Mapping[str, float
     return shaping.fill_nulls(raw_features(legs, spec), fills)
 
 
-def with_missing_filled(legs: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """Feature table filled with its own medians in one query: they enter as a scalar subquery."""
+def with_missing_filled(legs: DataFrame, spec: FeatureSpec, numbers: DataFrame | None = None) -> DataFrame:
+    """Feature table filled with its own medians in one query: they enter as a scalar subquery.
+
+    ``numbers`` may be a narrower view of the same legs (``number_inputs``) for the medians to read, when
+    the other columns come from joins that the medians can do without.
+    """
     raw = raw_features(legs, spec)
-    medians = profile.column_medians(raw.filter("label IS NOT NULL"), spec.number_columns)
+    known = number_features(legs if numbers is None else numbers, spec).filter("label IS NOT NULL")
+    medians = profile.column_medians(known, spec.number_columns)
     fills = medians.groupBy().agg(
         F.struct(*[F.max(F.when(F.col("column") == c, F.col("median"))).alias(c) for c in spec.number_columns])
     )
