@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, sharding
+import public_tokenizers
+
+from ..session import scratch_path
+from . import bpe, hmm, htmltext, mixing, quality, sharding, tokenfiles, urlfilter
+from .words import word_count
 
 SHARDS = 40
 
@@ -14,8 +18,12 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
-def _key(doc_id: str) -> Column:
-    return F.xxhash64(F.col(doc_id))
+RANKS = "byte_bpe_multi_50k.tiktoken"
+MIX_WEIGHTS, MIX_CEILING = [5, 2, 1], 3
+
+
+def hidden_markov_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return hmm.score(_read(spark, folder, "documents").select("doc_id", "text"))
 
 
 def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
@@ -45,9 +53,87 @@ def stratified_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def separator_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents as a flat file of hashed word ids, and the documents that the scan finds in it."""
+    ids = tokenfiles.hashed_word_ids(_read(spark, folder, "documents"), "text", "ids")
+    path = scratch_path(spark, "token-files")
+    tokenfiles.write(ids, "ids", path)
+    return tokenfiles.scan(spark, path)
+
+
+# Parts of host names that the filter list names.
+LISTED_TERMS = ["casino", "bets", "pills", "ads-"]
+LIST_START = 1704067200  # 2024-01-01 in UTC
+
+
+def list_entries(domains: DataFrame) -> DataFrame:
+    """Dated list entries for the domains (column ``domain``) that hold a listed term, and for a quarter of the others.
+
+    A domain is blocked on a day that its length gives, some are allowed again and some blocked once more; the English
+    part of some is allowed for good.
+    """
+    n = F.length("domain")
+
+    def entry(key: Column, action: str, day: Column, when: Column) -> Column:
+        since = F.timestamp_seconds(LIST_START + day * 86400)
+        return F.when(when, F.struct(key.alias("key"), F.lit(action).alias("action"), since.alias("since")))
+
+    listed = domains.filter(F.col("domain").rlike("|".join(LISTED_TERMS)) | (n % 4 == 0))
+    made = F.array(
+        entry(F.col("domain"), urlfilter.BLOCK, n * 5 % 60, F.lit(True)),
+        entry(F.col("domain"), urlfilter.ALLOW, n + 60, n % 2 == 0),
+        entry(F.col("domain"), urlfilter.BLOCK, n + 120, n % 3 == 0),
+        entry(F.concat("domain", F.lit("/en")), urlfilter.ALLOW, n % 30 + 30, n % 5 < 2),
+    )
+    return listed.select(F.explode(F.filter(made, lambda one: one.isNotNull())).alias("one")).select("one.*")
+
+
+def temporal_url_lists(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages as captures spread over half a year, judged by dated list entries for their own hosts."""
+    seconds = F.lit(LIST_START) + F.pmod(F.col("page_id") * 7919, F.lit(180 * 86400))
+    captures = _read(spark, folder, "pages").select("page_id", "url", F.timestamp_seconds(seconds).alias("fetched"))
+    domain = F.regexp_replace(urlfilter.host_of(F.col("url")), r"^(www|m|blog)\.", "")
+    entries = list_entries(captures.select(domain.alias("domain")).distinct())
+    return urlfilter.evaluate(captures, urlfilter.intervals(entries))
+
+
+def line_block_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = htmltext.extract(_read(spark, folder, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def mixing_weight() -> Column:
+    return mixing.cycling_weight(MIX_WEIGHTS)
+
+
+def subset_sum_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    slim = _read(spark, folder, "documents").select("doc_id", "source", word_count(F.col("text")).alias("words"))
+    fitted = mixing.fit(slim, "source", F.col("words"), ["doc_id"], mixing_weight(), MIX_CEILING)
+    taken = (F.col("size") * F.col("copies")).alias("taken")
+    return fitted.select("doc_id", "size", "source_size", "target", taken, "source", "copies")
+
+
+def byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    rank_path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
+    encoded = bpe.encode(_read(spark, folder, "documents").select("doc_id", "text"), rank_path, pattern)
+    both = bpe.decode(encoded.select("doc_id", "ids"), rank_path, pattern)
+    return both.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
+    "op1_hidden_markov_scores": hidden_markov_scores,
     "op2_stratified_shards": stratified_shards,
+    "op3_separator_scan": separator_scan,
     "op4_quality_rules": quality_rules,
+    "op5_temporal_url_lists": temporal_url_lists,
+    "op6_line_block_text": line_block_text,
+    "op8_subset_sum_mixture": subset_sum_mixture,
+    "op10_byte_level_bpe": byte_level_bpe,
 }
 
 ORACLES: dict[str, str] = {}
