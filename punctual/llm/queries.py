@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from ..session import scratch_path
-from . import bpe, hmm, htmltext, mixing, quality, sharding, tokenfiles, urlfilter
+from . import bpe, embeddings, hmm, htmltext, mixing, quality, sharding, tokenfiles, urlfilter
 from .words import word_count
 
 SHARDS = 40
@@ -113,6 +113,10 @@ def subset_sum_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return fitted.select("doc_id", "size", "source_size", "target", taken, "source", "copies")
 
 
+def collision_counting(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.link(_read(spark, folder, "embeddings"), "vec_id", "embedding", "label", threshold=0.98)
+
+
 def byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
     rank_path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
     encoded = bpe.encode(_read(spark, folder, "documents").select("doc_id", "text"), rank_path, pattern)
@@ -133,6 +137,7 @@ QUERIES = {
     "op5_temporal_url_lists": temporal_url_lists,
     "op6_line_block_text": line_block_text,
     "op8_subset_sum_mixture": subset_sum_mixture,
+    "op9_collision_counting": collision_counting,
     "op10_byte_level_bpe": byte_level_bpe,
 }
 
