@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from ..session import scratch_path
-from . import bpe, embeddings, hmm, htmltext, mixing, quality, sharding, tokenfiles, urlfilter
+from . import bpe, embeddings, hmm, htmltext, minhash, mixing, quality, sharding, tokenfiles, urlfilter
 from .words import word_count
 
 SHARDS = 40
@@ -113,6 +113,10 @@ def subset_sum_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return fitted.select("doc_id", "size", "source_size", "target", taken, "source", "copies")
 
 
+def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.mark(_read(spark, folder, "documents").select("doc_id", "text")).drop("text")
+
+
 def collision_counting(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.link(_read(spark, folder, "embeddings"), "vec_id", "embedding", "label", threshold=0.98)
 
@@ -136,6 +140,7 @@ QUERIES = {
     "op4_quality_rules": quality_rules,
     "op5_temporal_url_lists": temporal_url_lists,
     "op6_line_block_text": line_block_text,
+    "op7_prob_minhash": near_duplicates,
     "op8_subset_sum_mixture": subset_sum_mixture,
     "op9_collision_counting": collision_counting,
     "op10_byte_level_bpe": byte_level_bpe,
