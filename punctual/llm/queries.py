@@ -9,6 +9,7 @@ import public_tokenizers
 
 from ..session import scratch_path
 from . import bpe, embeddings, hmm, htmltext, minhash, mixing, quality, sharding, tokenfiles, urlfilter
+from .oracles import ORACLES
 from .words import word_count
 
 SHARDS = 40
@@ -94,7 +95,15 @@ def temporal_url_lists(spark: SparkSession, folder: str) -> DataFrame:
     captures = _read(spark, folder, "pages").select("page_id", "url", F.timestamp_seconds(seconds).alias("fetched"))
     domain = F.regexp_replace(urlfilter.host_of(F.col("url")), r"^(www|m|blog)\.", "")
     entries = list_entries(captures.select(domain.alias("domain")).distinct())
-    return urlfilter.evaluate(captures, urlfilter.intervals(entries))
+    judged = urlfilter.evaluate(captures, urlfilter.intervals(entries))
+    return judged.select(
+        "page_id",
+        "url",
+        F.unix_timestamp("fetched").alias("fetched_s"),
+        "matched_key",
+        F.unix_timestamp("matched_from").alias("matched_from_s"),
+        "kept",
+    )
 
 
 def line_block_text(spark: SparkSession, folder: str) -> DataFrame:
@@ -146,4 +155,4 @@ QUERIES = {
     "op10_byte_level_bpe": byte_level_bpe,
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
