@@ -2,7 +2,7 @@
 
 Markup is stripped to lines, one per block. A line's length is the length of its text; text of menus, headers, footers,
 sidebars, notices, adverts, forms, hidden parts and reader comments goes with its markup and leaves lines of length 0,
-as do lines that are mostly links outside an article. Lengths are summed over windows of ``WINDOW`` lines. A surge
+one for each of its pieces, as do lines that are mostly links outside an article. Lengths are summed over windows of ``WINDOW`` lines. A surge
 point is where the sum leaves 0, a dive point where it is back at 0; the text between them is one stretch. Stretches
 inside an article or main element are kept; on pages without one, those whose peak sum comes near the highest one.
 
@@ -108,7 +108,10 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     while at < len(page):
         tag = _MARKUP.search(page, at)
         stop = tag.start() if tag else len(page)
-        if stop > at and not skipped:
+        if stop > at and skipped:
+            if not page[at:stop].isspace():
+                lines.append(("", 0, False))
+        elif stop > at:
             text = html.unescape(page[at:stop])
             parts.append(text)
             if links:
@@ -136,7 +139,6 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             if not rest.rstrip().endswith("/"):
                 if name not in _INLINE:
                     end_line()
-                    lines.extend([("", 0, False)] * WINDOW)
                 skipped, depth = name, 1
             continue
         if name == "a":
@@ -145,7 +147,6 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             end_line()
         if name in ("article", "main"):
             articles = max(0, articles - 1) if closing else articles + 1
-            lines.extend([("", 0, False)] * WINDOW)
     end_line()
     return lines
 
