@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +21,21 @@ def value_counts(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
     return df.filter(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
 
 
+# So many parts per doubling of a value: the parts of a group are in the order of their values.
+PARTS_PER_DOUBLING = 256
+
+
+def _part(value: Column) -> Column:
+    """An integer that grows with the value and is shared by values within a part in 256 of each other."""
+    size = F.abs(value)
+    octave = F.floor(F.log2(size))
+    inside = F.floor((size / F.pow(F.lit(2.0), octave) - 1) * PARTS_PER_DOUBLING)
+    # Doubles reach down to 2 to the -1074, so what is added here keeps all parts above 0.
+    return F.when(value == 0, F.lit(0)).otherwise(
+        (F.signum(value) * ((octave + 1100) * PARTS_PER_DOUBLING + inside)).cast("long")
+    )
+
+
 def _summarise(
     counts: DataFrame,
     groups: Sequence[str],
@@ -32,22 +45,29 @@ def _summarise(
 ) -> DataFrame:
     """Linearly interpolated quantiles, and ``extra`` aggregates, from value counts.
 
-    A group is as long as it has distinct values, not rows: delays are whole minutes and clock times
-    whole HHMM numbers, so a group that holds a third of all rows still has a few thousand entries. The
-    windows sort and spill; no group is held in an aggregation buffer.
+    A group is cut into ranges of its values (``_part``). One row per range gives the rank at which the range starts;
+    only the values of a range are sorted together. So no task holds the values of a group, however many there are.
     """
-    by_value = Window.partitionBy(*groups).orderBy("_v")
+    groups = list(groups)
+    valued = counts.select(*groups, F.col(value).cast("double").alias("_v"), "_n").withColumn("_part", _part(F.col("_v")))
     whole = Window.partitionBy(*groups)
-    ranked = (
-        counts.select(*groups, F.col(value).cast("double").alias("_v"), "_n")
-        .withColumn("_upto", F.sum("_n").over(by_value))
-        .withColumns(
-            {
-                "_total": F.sum("_n").over(whole),
-                "_mean": F.sum(F.col("_v") * F.col("_n")).over(whole) / F.sum("_n").over(whole),
-            }
+    before = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = (
+        valued.groupBy(*groups, "_part")
+        .agg(F.sum("_n").alias("_rows"), F.sum(F.col("_v") * F.col("_n")).alias("_sum"))
+        .select(
+            *[F.col(name).alias(f"_g{at}") for at, name in enumerate(groups)],
+            F.col("_part").alias("_range"),
+            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"),
+            F.sum("_rows").over(whole).alias("_total"),
+            (F.sum("_sum").over(whole) / F.sum("_rows").over(whole)).alias("_mean"),
         )
     )
+    same = F.col("_part") == F.col("_range")
+    for at, name in enumerate(groups):
+        same = same & F.col(name).eqNullSafe(F.col(f"_g{at}"))
+    by_value = Window.partitionBy(*groups, "_part").orderBy("_v")
+    ranked = valued.join(ranges, same).withColumn("_upto", F.col("_start") + F.sum("_n").over(by_value))
     first = F.col("_upto") - F.col("_n")
     results = [column.alias(name) for name, column in (extra or {}).items()]
     for name, quantile in quantiles.items():
@@ -82,87 +102,36 @@ def describe_groups(df: DataFrame, groups: Sequence[str], value: str) -> DataFra
     return summary.select(*groups, "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
-def _pair_moments(columns: Sequence[str]):
-    """Task-side half of the correlation matrix: moments of every column pair over a task's batches.
-
-    With NULL as NaN, masked matrix products give all pairwise-complete sums of a batch at once. A task
-    emits one row per pair, whatever the number of its rows.
-    """
-
-    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        width = len(columns)
-        upper = np.triu_indices(width)
-        rows = np.zeros((width, width))
-        mean_x, mean_y, square_x, square_y, product = (np.zeros((width, width)) for _ in range(5))
-        for batch in batches:
-            values = batch.to_numpy(dtype="float64", na_value=np.nan)
-            present = (~np.isnan(values)).astype("float64")
-            # Sums are taken around a point inside the batch, which keeps them exact for large offsets.
-            counted = present.sum(axis=0)
-            centre = np.where(counted > 0, np.nansum(values, axis=0) / np.maximum(counted, 1), 0.0)
-            shifted = np.where(present > 0, values - centre, 0.0)
-            n = present.T @ present
-            sum_x = shifted.T @ present
-            sum_y = sum_x.T
-            n_safe = np.maximum(n, 1)
-            batch_mean_x, batch_mean_y = sum_x / n_safe, sum_y / n_safe
-            squares = (shifted * shifted).T @ present
-            batch_xx = squares - sum_x * batch_mean_x
-            batch_yy = squares.T - sum_y * batch_mean_y
-            batch_xy = shifted.T @ shifted - sum_x * batch_mean_y
-            batch_mean_x, batch_mean_y = batch_mean_x + centre[:, None], batch_mean_y + centre[None, :]
-            total = np.maximum(rows + n, 1)
-            gap_x, gap_y, weight = batch_mean_x - mean_x, batch_mean_y - mean_y, rows * n / total
-            square_x += batch_xx + gap_x * gap_x * weight
-            square_y += batch_yy + gap_y * gap_y * weight
-            product += batch_xy + gap_x * gap_y * weight
-            mean_x += gap_x * n / total
-            mean_y += gap_y * n / total
-            rows += n
-        names = np.array(columns, dtype=object)
-        parts = {"n": rows, "mx": mean_x, "my": mean_y, "xx": square_x, "yy": square_y, "xy": product}
-        result = {"x": names[upper[0]], "y": names[upper[1]], **{k: m[upper] for k, m in parts.items()}}
-        yield pd.DataFrame(result)
-
-    return run
-
-
 def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int | None = None) -> DataFrame:
     """Pairwise-complete Pearson correlations as rows ``(x, y, corr)``, both orders, diagonal included.
 
-    One pass over the columns; every task sends one row per pair. The built-in ``corr`` gives the same
-    numbers, but a projection with one ``corr`` per pair is too long for the JVM to compile.
+    One pass: every row gives one short row per pair, which each task adds up before the shuffle. (One aggregate with
+    an expression per pair would be too long for the JVM to compile.) A column without spread has no correlation.
     """
-    numeric = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    schema = "x STRING, y STRING, n DOUBLE, mx DOUBLE, my DOUBLE, xx DOUBLE, yy DOUBLE, xy DOUBLE"
-    partial = numeric.mapInPandas(_pair_moments(list(columns)), schema)
-    pair = Window.partitionBy("x", "y")
-    n, mx, my = F.col("n"), F.col("mx"), F.col("my")
-    gap_x = mx - F.try_divide(F.sum(n * mx).over(pair), F.sum(n).over(pair))
-    gap_y = my - F.try_divide(F.sum(n * my).over(pair), F.sum(n).over(pair))
-    merged = (
-        partial.select(
-            "x",
-            "y",
-            (F.col("xx") + n * gap_x * gap_x).alias("xx"),
-            (F.col("yy") + n * gap_y * gap_y).alias("yy"),
-            (F.col("xy") + n * gap_x * gap_y).alias("xy"),
+    pairs = [(x, y) for at, x in enumerate(columns) for y in columns[at:]]
+    cells = [
+        F.struct(F.lit(at).alias("pair"), F.col(x).cast("double").alias("a"), F.col(y).cast("double").alias("b"))
+        for at, (x, y) in enumerate(pairs)
+    ]
+    both = F.col("a").isNotNull() & F.col("b").isNotNull()
+    sums = (
+        df.select(F.inline(F.array(*cells)))
+        .groupBy("pair")
+        .agg(
+            F.covar_pop("a", "b").alias("together"),
+            F.stddev_pop(F.when(both, F.col("a"))).alias("spread_a"),
+            F.stddev_pop(F.when(both, F.col("b"))).alias("spread_b"),
         )
-        .groupBy("x", "y")
-        .agg(F.sum("xx").alias("xx"), F.sum("yy").alias("yy"), F.sum("xy").alias("xy"))
-    )
-    # A column without spread has no correlation.
-    spread = F.sqrt(F.col("xx")) * F.sqrt(F.col("yy"))
-    corr = F.when(F.col("x") == F.col("y"), F.try_divide(F.col("xx"), F.col("xx"))).otherwise(
-        F.try_divide(F.col("xy"), spread)
     )
+    corr = F.try_divide(F.col("together"), F.col("spread_a") * F.col("spread_b"))
     # Rounding errors may step over the limits; NULL stays NULL, which least and greatest would skip.
     corr = F.when(corr.isNotNull(), F.least(F.greatest(corr, F.lit(-1.0)), F.lit(1.0)))
     if digits is not None:
         corr = F.round(corr, digits)
-    both_orders = F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y")))
-    cells = merged.select(corr.alias("corr"), F.inline(F.array_distinct(both_orders)))
-    return cells.select("x", "y", "corr")
+    names = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in pairs])
+    named = sums.select(F.get(names, F.col("pair")).alias("names"), corr.alias("corr"))
+    other = F.struct(F.col("names.y").alias("x"), F.col("names.x").alias("y"))
+    return named.select("corr", F.inline(F.array_distinct(F.array("names", other)))).select("x", "y", "corr")
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -194,24 +163,25 @@ def column_medians(df: DataFrame, columns: Sequence[str], accuracy: int | None =
 
 
 def profile_table(df: DataFrame) -> DataFrame:
-    """One row per column without nested values: type, rows, nulls, minimum and maximum as text."""
-    simple = [f for f in df.schema.fields if f.dataType.typeName() not in ("array", "struct", "map")]
-    aggregates = [F.count(F.lit(1)).alias("_rows")]
-    for field in simple:
+    """One row per column: type, rows, nulls, minimum and maximum as text (NULL for columns with nested values)."""
+    aggregates = [F.count(F.lit(1)).alias("rows")]
+    for at, field in enumerate(df.schema.fields):
         column = F.col(f"`{field.name}`")
-        aggregates += [
-            F.count_if(column.isNull()).alias(f"{field.name}#nulls"),
-            F.min(column).cast("string").alias(f"{field.name}#min"),
-            F.max(column).cast("string").alias(f"{field.name}#max"),
-        ]
+        aggregates.append(F.count_if(column.isNull()).alias(f"nulls{at}"))
+        if field.dataType.typeName() not in ("array", "struct", "map"):
+            aggregates += [F.min(column).cast("string").alias(f"min{at}"), F.max(column).cast("string").alias(f"max{at}")]
     wide = df.agg(*aggregates)
     rows = [
         F.struct(
             F.lit(field.name).alias("column"),
             F.lit(field.dataType.simpleString()).alias("type"),
-            F.col("_rows").alias("rows"),
-            *[F.col(f"`{field.name}#{part}`").alias(part) for part in ("nulls", "min", "max")],
+            F.col("rows"),
+            F.col(f"nulls{at}").alias("nulls"),
+            *[
+                (F.col(f"{part}{at}") if f"{part}{at}" in wide.columns else F.lit(None).cast("string")).alias(part)
+                for part in ("min", "max")
+            ],
         )
-        for field in simple
+        for at, field in enumerate(df.schema.fields)
     ]
     return wide.select(F.inline(F.array(*rows)))

@@ -8,17 +8,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text, times
 from ..functions import observations as decode
+from ..functions.registry import register_sql_functions
 from ..operators import asof, joins, profile, shaping, timeframes
 from ..session import scratch_path
-from ..sources import files, observations
-from ..sources.tables import asof_sides, legs, raw_observation_lines, table
+from ..sources import files, observations, schemas
+from ..sources.tables import LEG_COLUMNS, asof_sides, legs, raw_observation_lines, table
 from ..streaming import enrichment, envelopes, rolling, scoring, sinks
-from . import delays, features, lookup, model, weather
+from . import delays, enrich, features, lookup, model, weather
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,6 +28,8 @@ QUERIES: dict[str, Query] = {}
 CARRIER_NAMES = {"1-URGENT": "Urgent Air", "2-HIGH": "High Air", "3-MEDIUM": "Medium Air"}
 ONE_ORIGIN = "NATION_7"
 REGION_PART = "_1"
+# A destination and day with legs in every test folder.
+ONE_DEST, ONE_DAY = "NATION_10", "1998-03-17"
 PAGE_SIZE = 1000
 MAX_AGE_SECONDS = 7 * 86_400
 
@@ -97,7 +100,7 @@ def weather_time_block(spark, folder):
 @query
 def weather_time_block_domain(spark, folder):
     """The same question with the blocks taken from another table: arrival blocks of all legs."""
-    view = legs(spark, folder, "time_block", "weather_delay", "arr_hhmm").filter("time_block < '1200'")
+    view = legs(spark, folder, "time_block", "weather_delay")
     blocks = legs(spark, folder, "arr_hhmm").select(times.hour_block("arr_hhmm").alias("time_block"))
     return delays.weather_delay_over_domain(view, blocks)
 
@@ -241,8 +244,8 @@ def dest_wind_delay(spark, folder):
 
 @query
 def precip_delay(spark, folder):
-    view = legs(spark, folder, "dest_precipitation", "arr_del15", "arr_delay")
-    return weather.delay_by_precipitation(view, "dest_precipitation")
+    view = legs(spark, folder, "origin_precipitation", "arr_del15", "arr_delay")
+    return weather.delay_by_precipitation(view, "origin_precipitation")
 
 
 @query
@@ -266,8 +269,6 @@ MEASURES = (
     "security_delay",
     "late_aircraft_delay",
 )
-PROFILED = ("carrier", "dep_del15", "weather_delay", "origin_wind_speed", "origin_visibility", "origin_clouds",
-            "dest_precipitation", "origin_wind_gusts", "leg_date")
 FEATURE_NUMBERS = features.STAND_IN.numbers
 
 
@@ -278,7 +279,7 @@ def delay_corr_matrix(spark, folder):
 
 @query
 def null_profile(spark, folder):
-    return profile.null_profile(legs(spark, folder, *PROFILED))
+    return profile.null_profile(legs(spark, folder, *LEG_COLUMNS))
 
 
 @query
@@ -288,7 +289,7 @@ def column_medians(spark, folder):
 
 @query
 def table_profile(spark, folder):
-    return profile.profile_table(legs(spark, folder, *PROFILED))
+    return profile.profile_table(legs(spark, folder, *LEG_COLUMNS))
 
 
 # ---------------------------------------------------------------- stations, observations, roles
@@ -311,11 +312,79 @@ def station_timeframes(spark, folder):
 
 @query
 def observation_requests(spark, folder):
-    view = legs(spark, folder, "origin_city", "dest_city", "dep_time")
-    frames = timeframes.station_timeframes(view, {"Origin": "origin_city", "Destination": "dest_city"}, "dep_time")
+    """Frames of departures in UTC; the stand-in time zone of a nation is a fixed number of hours west."""
+    view = legs(spark, folder, "origin_city", "dest_city", "origin_key", "dep_time")
+    utc = view.withColumn("dep_utc", times.local_to_utc("dep_time", _zone("origin_key")))
+    frames = timeframes.station_timeframes(utc, {"Origin": "origin_city", "Destination": "dest_city"}, "dep_utc")
     return timeframes.observation_requests(frames)
 
 
+def _zone(nation_key):
+    return F.format_string("-%02d:00", (F.col(nation_key) % 4 + 5).cast("int"))
+
+
+# The columns of a published leg that the test tables can fill; the others are empty in the file.
+CSV_LEG = {
+    "OriginAirportSeqID": "l_orderkey",
+    "Flight_Number_Operating_Airline": "l_linenumber",
+    "OriginAirportID": "10000 + s_nationkey",
+    "DestAirportID": "CASE WHEN l_linenumber = 7 THEN 1 ELSE 10000 + c_nationkey END",
+    "FlightDate": "date_add(DATE'2024-01-01', CAST(l_orderkey % 30 AS INT))",
+    "Year": "2024",
+    "Month": "1",
+    "DayofMonth": "CAST(l_orderkey % 30 AS INT) + 1",
+    "CRSDepTime": "CAST(l_partkey % 24 * 100 + l_suppkey % 60 AS INT)",
+    "CRSArrTime": "CAST((l_partkey + 2) % 24 * 100 + l_suppkey % 60 AS INT)",
+    "ArrDelay": "l_quantity - 25",
+}
+
+
+@query
+def enrich_legs(spark, folder):
+    """The whole enrichment job: CSV legs and raw report text to files, read, joined in both roles, stored, read back.
+
+    Columns of the CSV file stand in reverse order, one with a blank after its name. Nations are the airports; a
+    seventh leg of an order goes to an unknown airport and is left out.
+    """
+    legs_path, raw_path, seen, out = (scratch_path(spark, name) for name in ("csv-legs", "raw-text", "observations", "enriched-legs"))
+    source = (
+        table(spark, folder, "lineitem")
+        .join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    )
+    cells = [
+        (F.expr(CSV_LEG[field.name]) if field.name in CSV_LEG else F.lit(None)).cast(field.dataType).alias(
+            f"{field.name} " if field.name == "ArrDelay" else field.name
+        )
+        for field in reversed(schemas.LEG.fields)
+    ]
+    source.select(*cells).write.option("header", True).csv(legs_path)
+    raw_observation_lines(spark, folder).select("line").write.text(raw_path)
+    airports = table(spark, folder, "nation").select(
+        (F.col("n_nationkey") + 10000).alias("AirportID"),
+        F.format_string("K%03d", "n_nationkey").alias("ICAO"),
+        _zone("n_nationkey").alias("Timezone"),
+    )
+    stored = enrich.run(spark, legs_path, raw_path, seen, out, airports, dest_at_arrival=True)
+    return stored.select(
+        F.col("OriginAirportSeqID").alias("order_key"),
+        F.col("Flight_Number_Operating_Airline").alias("line"),
+        F.col("OriginICAO").alias("origin"),
+        F.col("DestICAO").alias("dest"),
+        times.second_text("CRSDepTimestamp").alias("departure"),
+        times.second_text("CRSArrTimestamp").alias("arrival"),
+        F.col("ArrDelay").alias("arr_delay"),
+        *[
+            (F.array_join(f"{role}{name}", ",") if name in ("Precipitation", "Clouds") else F.col(f"{role}{name}")).alias(
+                f"{role.lower()}_{_snake(name)}"
+            )
+            for role in ("Origin", "Dest")
+            for name in decode.WEATHER_FIELDS
+        ],
+    )
+
+
 @query
 def sched_timestamps(spark, folder):
     view = table(spark, folder, "lineitem").select(
@@ -435,7 +504,7 @@ def legs_by_dest_date(spark, folder):
 @query
 def legs_of_one_day(spark, folder):
     view = legs(spark, folder, "dest_city", "leg_date", "leg_id", "dep_hhmm", "arr_hhmm")
-    found = lookup.legs_of(view, ONE_ORIGIN, "1998-06-15")
+    found = lookup.legs_of(view, ONE_DEST, ONE_DAY)
     return found.select("leg_id", times.minutes_of_day("dep_hhmm").alias("departure_minute"))
 
 
@@ -448,9 +517,16 @@ def _finish(stream_query) -> None:
         raise stream_query.exception()
 
 
+# Streams read their files in several micro-batches.
+STREAM_FILES, FILES_PER_BATCH = 8, 2
+
+
 def _event_stream(spark, folder):
-    """The events as a file stream; the pattern fits a single file and a folder of part files."""
-    return sinks.file_stream(spark, f"{folder}/events.parquet*", table(spark, folder, "events").schema)
+    """The events as a stream of files, each with rows from the whole span of time, and a lateness that suits it."""
+    events = table(spark, folder, "events")
+    path = scratch_path(spark, "event-files")
+    events.repartition(STREAM_FILES, F.xxhash64("event_id")).write.parquet(path)
+    return sinks.file_stream(spark, path, events.schema, files_per_batch=FILES_PER_BATCH), rolling.whole_span(events, "ts")
 
 
 @query
@@ -464,8 +540,8 @@ def stream_flatten(spark, folder):
     """Events published as envelope lines, read back as a stream of rows."""
     events = table(spark, folder, "events")
     lines, out = scratch_path(spark, "envelopes"), scratch_path(spark, "flattened")
-    envelopes.publish(events, "ts", lines)
-    stream = spark.readStream.option("maxFilesPerTrigger", 64).text(lines)
+    envelopes.publish(events, "ts", lines, files=STREAM_FILES)
+    stream = spark.readStream.option("maxFilesPerTrigger", FILES_PER_BATCH).text(lines)
     rows = envelopes.read_envelopes(stream, events.schema)
     _finish(sinks.append_parquet(rows, out, scratch_path(spark, "flattened-state")))
     stored = spark.read.schema(events.schema).parquet(out)
@@ -478,8 +554,8 @@ def stream_rolling(spark, folder):
 
     One stream keeps the 15-minute windows; the wider ones are rolled up from what it wrote.
     """
-    # Files of a shared folder come in no special order, so the whole span counts as on time.
-    stream = rolling.event_time(_event_stream(spark, folder), "ts", "60 days")
+    stream, lateness = _event_stream(spark, folder)
+    stream = rolling.event_time(stream, "ts", lateness)
     metrics = {"num_events": F.count(F.lit(1)), "total": F.sum(F.col("value").cast("decimal(18,2)"))}
     narrow = rolling.windowed_metrics(stream, "ts", ["event_type"], metrics, rolling.WIDTHS[0])
     out = scratch_path(spark, "rolling")
@@ -501,8 +577,8 @@ def stream_rolling(spark, folder):
 @query
 def stream_distinct(spark, folder):
     """Event types per hour and user, each reported once, with the state bounded by a watermark."""
-    stream = _event_stream(spark, folder)
-    hourly = rolling.event_time(stream.withColumn("ts", F.date_trunc("hour", "ts")), "ts", "60 days")
+    stream, lateness = _event_stream(spark, folder)
+    hourly = rolling.event_time(stream.withColumn("ts", F.date_trunc("hour", "ts")), "ts", lateness)
     keys = ["user_id", "event_type", "ts"]
     out = scratch_path(spark, "distinct")
     rows = rolling.without_duplicates(hourly.select(*keys), keys)
@@ -513,7 +589,8 @@ def stream_distinct(spark, folder):
 @query
 def stream_enrich(spark, folder):
     """A stream of legs with the latest observation of the last week attached."""
-    arriving = _event_stream(spark, folder).filter("event_type = 'purchase'").select(
+    stream, _ = _event_stream(spark, folder)
+    arriving = stream.filter("event_type = 'purchase'").select(
         "event_id", F.col("user_id").alias("station"), F.col("ts").alias("leg_time")
     )
     _, seen = asof_sides(spark, folder)
@@ -527,6 +604,144 @@ def stream_enrich(spark, folder):
     return spark.read.parquet(out).select("event_id", "station", "obs_value")
 
 
+LATE_EVERY = 50
+
+
+@query
+def stream_late_rows(spark, folder):
+    """Counts per event type and 15 minutes with a day's lateness: four weeks in order, then what came too late.
+
+    Every fiftieth event arrives after all others. Those whose window was closed by then are left out.
+    """
+    events = table(spark, folder, "events")
+    path, out = scratch_path(spark, "late-files"), scratch_path(spark, "late")
+    week, late = F.least(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(3)), F.col("event_id") % LATE_EVERY == 0
+    for number in range(4):
+        part = events.filter((week == number) & ~late)
+        part.repartition(FILES_PER_BATCH, "event_id").write.mode("append").parquet(path)
+    events.filter(late).repartition(FILES_PER_BATCH, "event_id").write.mode("append").parquet(path)
+    stream = sinks.file_stream(spark, path, events.schema, files_per_batch=FILES_PER_BATCH)
+    counts = rolling.windowed_metrics(
+        rolling.event_time(stream, "ts", "1 day"), "ts", ["event_type"], {"num_events": F.count(F.lit(1))}, rolling.WIDTHS[0]
+    )
+    _finish(sinks.per_batch_folders(counts, out, scratch_path(spark, "late-state")))
+    state = sinks.latest_state(spark.read.parquet(out), ["event_type", "window_start"])
+    return state.select("event_type", times.second_text("window_start").alias("window_start"), "num_events")
+
+
+@query
+def stream_mean_scores(spark, folder):
+    """Mean predicted probability of delay per station and day, on a stream of scored rows."""
+    stream, lateness = _event_stream(spark, folder)
+    minute = (F.hour("ts") * 60 + F.minute("ts")).alias("dep_minute_of_day")
+    scored = _rule(stream.select(F.col("user_id").alias("station"), "ts", minute))
+    means = rolling.windowed_metrics(
+        rolling.event_time(scored, "ts", lateness), "ts", ["station"],
+        {"num_legs": F.count(F.lit(1)), "total": F.sum(F.col("delay_probability").cast("decimal(18,3)"))}, rolling.WIDTHS[2],
+    )
+    out = scratch_path(spark, "mean-scores")
+    _finish(sinks.per_batch_folders(means, out, scratch_path(spark, "mean-scores-state")))
+    state = sinks.latest_state(spark.read.parquet(out), ["station", "window_start"])
+    return state.select(
+        "station",
+        times.day_text("window_start").alias("day"),
+        "num_legs",
+        F.round(F.col("total").cast("double") / F.col("num_legs"), 6).alias("mean_probability"),
+    )
+
+
+# ---------------------------------------------------------------- small building blocks
+
+
+@query
+def shaped_legs(spark, folder):
+    """Names mended, a struct spread out, an absent column added, SQL functions and text times."""
+    register_sql_functions(spark)
+    raw = table(spark, folder, "lineitem").select(
+        "l_orderkey",
+        F.col("l_linenumber").alias("line "),
+        F.struct(F.col("l_tax").alias("Tax"), F.col("l_discount").alias("Discount")).alias("rates"),
+        F.concat(F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit(" 0"), F.col("l_suppkey") % 10, F.lit(":52")).alias("at"),
+        F.expr("CAST(l_partkey % 24 * 100 + l_suppkey % 60 AS INT)").alias("hhmm"),
+        F.when(F.col("l_linenumber") == 1, F.array()).otherwise(F.array("l_returnflag", "l_linestatus")).alias("flags"),
+    )
+    named = shaping.rename_present(shaping.strip_header_spaces(raw), {"line": "leg_line", "absent": "nothing"})
+    spread = shaping.prefix_struct(shaping.add_missing(named, ["bonus", "hhmm"], 7.0), "rates", "Leg")
+    return spread.select(
+        "l_orderkey",
+        "leg_line",
+        "LegTax",
+        "LegDiscount",
+        F.col("bonus").cast("double").alias("bonus"),
+        times.second_text(times.parse_text_timestamp("at")).alias("at"),
+        F.expr("hhmm_minutes(hhmm)").alias("minutes"),
+        F.expr("list_label(flags)").alias("flags"),
+        F.expr("weekend_flag(to_date(at))").alias("weekend"),
+    )
+
+
+@query
+def stored_splits(spark, folder):
+    """The split as a stored tag: labelled legs per split and label, read back from its folders."""
+    path = scratch_path(spark, "splits")
+    view = legs(spark, folder, KEY, "dep_del15").select(KEY, F.col("dep_del15").cast("int").alias("label"))
+    model.write_splits(features.labelled(view), KEY, path)
+    return spark.read.parquet(path).groupBy("split", "label").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def archived_raw(spark, folder):
+    """Raw lines appended under two load dates, counted per date."""
+    path = scratch_path(spark, "raw-archive")
+    lines = raw_observation_lines(spark, folder)
+    for day, part in (("2024-02-01", lines.filter("event_id % 2 = 0")), ("2024-02-02", lines.filter("event_id % 2 = 1"))):
+        observations.archive_raw(part, path, day)
+    stored = spark.read.parquet(path)
+    return stored.groupBy(times.day_text("load_date").alias("load_day")).agg(
+        F.count(F.lit(1)).alias("lines"), F.min("event_id").alias("first_event"), F.max("event_id").alias("last_event")
+    )
+
+
+@query
+def time_sorted_rows(spark, folder):
+    """Rows written in time order, then, per file, how many rows stand before an earlier one."""
+    path = scratch_path(spark, "time-sorted")
+    files.write_sorted_by_time(table(spark, folder, "events"), path, "ts")
+    placed = files.read_parquet(spark, path, ["ts"]).select(
+        "ts", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("place")
+    )
+    previous = F.lag("ts").over(Window.partitionBy("file", F.floor(F.col("place") / 1_000_000)).orderBy("place"))
+    marked = placed.withColumn("wrong", (F.col("ts") < previous).cast("int"))
+    return marked.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("wrong"), F.lit(0)).alias("wrong"))
+
+
+@query
+def filled_from_file(spark, folder):
+    """Medians stored as a small file, read back, and put in for missing numbers: the sums that result."""
+    path = scratch_path(spark, "fills")
+    columns = ["origin_wind_speed", "origin_visibility", "dest_wind_speed"]
+    view = legs(spark, folder, *columns).select(*[F.col(name).cast("double").alias(name) for name in columns])
+    medians = profile.column_medians(view, columns).collect()
+    files.write_fill_values(spark, {row["column"]: row["median"] for row in medians}, path)
+    filled = shaping.fill_nulls(view, files.read_fill_values(spark, path, columns))
+    return filled.agg(*[F.sum(name).alias(name) for name in columns])
+
+
+@query
+def hash_sample(spark, folder):
+    """A tenth of the legs by a hash of their key, the same in any run."""
+    view = legs(spark, folder, KEY, "arr_delay")
+    return view.filter(model.split_column(KEY, 10, seed=7) == "train").select(KEY, "arr_delay")
+
+
+@query
+def scaled_numbers(spark, folder):
+    """Two measures, standardised as a pipeline stage does it."""
+    view = legs(spark, folder, KEY, "dep_delay", "elapsed")
+    scaled = model.standardised(view, ["dep_delay", "elapsed"])
+    return scaled.select(KEY, *[F.round(name, 6).alias(name) for name in ("dep_delay", "elapsed")])
+
+
 # ---------------------------------------------------------------- features and models
 
 SPEC = features.STAND_IN
@@ -536,7 +751,8 @@ KEY = "leg_id"
 @query
 def feature_table(spark, folder):
     view, numbers = (legs(spark, folder, *columns) for columns in (SPEC.inputs, SPEC.number_inputs))
-    return features.with_missing_filled(view, SPEC, numbers).withColumn("leg_day", times.day_text("leg_day"))
+    training = model.split_column(KEY) == "train"
+    return features.with_missing_filled(view, SPEC, numbers, training).withColumn("leg_day", times.day_text("leg_day"))
 
 
 @query
@@ -576,6 +792,49 @@ def rule_performance_over_time(spark, folder):
     return model.performance_over_time(_rule_scored(spark, folder)).withColumn("week", times.second_text("week"))
 
 
+@query
+def rule_rolling_ranges(spark, folder):
+    """Metrics of every range of six months that starts in any month with data or up to five months before."""
+    return model.metrics_by_range(_rule_scored(spark, folder), months=6)
+
+
+def _rule(df):
+    """Late from noon on, more probably so the later."""
+    ruled = model.rule_scores(df, F.col("dep_minute_of_day") >= 720)
+    return ruled.withColumn("delay_probability", F.round(F.col("dep_minute_of_day") / 1440, 3))
+
+
+def _rule_features(spark, folder):
+    view = legs(spark, folder, KEY, "origin_city", "dest_city", "leg_date", "dep_hhmm", "dep_del15")
+    return view.select(
+        KEY,
+        "origin_city",
+        "dest_city",
+        F.col("leg_date").alias("leg_day"),
+        times.minutes_of_day("dep_hhmm").alias("dep_minute_of_day"),
+        F.col("dep_del15").cast("int").alias("label"),
+    )
+
+
+@query
+def rule_curve_metrics(spark, folder):
+    return model.curve_table(_rule(features.labelled(_rule_features(spark, folder)))).select(
+        F.round("roc_auc", 9).alias("roc_auc"), F.round("pr_auc", 9).alias("pr_auc")
+    )
+
+
+@query
+def rule_score_date(spark, folder):
+    return model.score_date(None, _rule_features(spark, folder), ONE_DAY, ["origin_city", "dest_city", KEY], _rule)
+
+
+@query
+def rule_score_ids(spark, folder):
+    """Scores for the legs of one order date, asked for by id."""
+    ids = legs(spark, folder, KEY, "leg_date").filter(F.col("leg_date") == F.lit(ONE_DAY).cast("date"))
+    return model.score_ids(None, _rule_features(spark, folder), ids, KEY, _rule)
+
+
 @query
 def class_weights(spark, folder):
     labels = legs(spark, folder, "dep_del15").select(F.col("dep_del15").cast("int").alias("label"))
@@ -588,9 +847,14 @@ def seeded_sample(spark, folder):
     return sampled.select(*delays.CAUSES.values(), "dep_delay_minutes")
 
 
+# By session and folder; ``clear_trained`` lets go of the models.
 _TRAINED: dict[tuple, tuple] = {}
 
 
+def clear_trained() -> None:
+    _TRAINED.clear()
+
+
 def _prepared(spark, folder):
     """Training and test features, with the fills of the training rows."""
     raw = features.labelled(features.raw_features(legs(spark, folder, *SPEC.inputs), SPEC))
@@ -602,7 +866,7 @@ def _prepared(spark, folder):
 
 def _trained(spark, folder):
     """One boosted-tree model per session and folder; the model itself is small."""
-    key = (spark.sparkContext.applicationId, folder)
+    key = (spark, folder)
     if key not in _TRAINED:
         training, test, fills = _prepared(spark, folder)
         _TRAINED[key] = (model.fit(SPEC, training, model.boosted_trees()), test, fills)
@@ -631,7 +895,7 @@ def curve_metrics(spark, folder):
 def score_date(spark, folder):
     trained, _, fills = _trained(spark, folder)
     view = features.build_features(legs(spark, folder, *SPEC.inputs), SPEC, fills)
-    return model.score_date(trained, view, "1998-06-15", ["origin_city", "dest_city", "leg_id"])
+    return model.score_date(trained, view, ONE_DAY, ["origin_city", "dest_city", "leg_id"])
 
 
 @query
@@ -668,7 +932,7 @@ def feature_importance(spark, folder):
 def weighted_metrics(spark, folder):
     training, test, _ = _prepared(spark, folder)
     weighted = model.with_class_weight(training)
-    trees = model.boosted_trees(depth=3, iterations=5, weightCol="weight")
+    trees = model.boosted_trees(depth=5, iterations=50, weightCol="weight")
     return model.metrics_table(model.score(model.fit(SPEC, weighted, trees, scale_numbers=True), test))
 
 
@@ -682,7 +946,7 @@ def forest_metrics(spark, folder):
 @query
 def grid_search(spark, folder):
     training, _, _ = _prepared(spark, folder)
-    found = model.grid_search(SPEC, files.keep(training), {"maxDepth": [2, 4], "maxIter": [5]}, folds=2)
+    found = model.grid_search(SPEC, files.keep(training), model.REDUCED_GRID, folds=2)
     training.unpersist()
     return model.grid_results(spark, found)
 
@@ -690,7 +954,7 @@ def grid_search(spark, folder):
 @query
 def half_year_models(spark, folder):
     view = features.labelled(features.raw_features(legs(spark, folder, *SPEC.inputs), SPEC))
-    forest = model.random_forest(trees=5, depth=4, seed=42)
+    forest = model.random_forest(trees=100, depth=10, seed=42)
     return model.compare_ranges(view, SPEC, KEY, forest, scratch_path(spark, "half-years"))
 
 

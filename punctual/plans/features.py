@@ -142,7 +142,7 @@ def raw_features(legs: DataFrame, spec: FeatureSpec) -> DataFrame:
 def fit_fills(features: DataFrame, spec: FeatureSpec) -> dict[str, float]:
     """Median per number column, from labelled training rows only. One value per feature column."""
     medians = profile.column_medians(features.filter("label IS NOT NULL"), spec.number_columns)
-    return {row["column"]: row["median"] for row in medians.limit(len(spec.number_columns)).collect()}
+    return {row["column"]: row["median"] for row in medians.collect()}
 
 
 def build_features(legs: DataFrame, spec: FeatureSpec, fills: Mapping[str, float]) -> DataFrame:
@@ -150,14 +150,18 @@ def build_features(legs: DataFrame, spec: FeatureSpec, fills: Mapping[str, float
     return shaping.fill_nulls(raw_features(legs, spec), fills)
 
 
-def with_missing_filled(legs: DataFrame, spec: FeatureSpec, numbers: DataFrame | None = None) -> DataFrame:
+def with_missing_filled(
+    legs: DataFrame, spec: FeatureSpec, numbers: DataFrame | None = None, training: Column | None = None
+) -> DataFrame:
     """Feature table filled with its own medians in one query: they enter as a scalar subquery.
 
     ``numbers`` may be a narrower view of the same legs (``number_inputs``) for the medians to read, when
-    the other columns come from joins that the medians can do without.
+    the other columns come from joins that the medians can do without. ``training`` picks the labelled rows that
+    medians come from; without it all labelled rows are training rows.
     """
     raw = raw_features(legs, spec)
     known = number_features(legs if numbers is None else numbers, spec).filter("label IS NOT NULL")
+    known = known if training is None else known.filter(training)
     medians = profile.column_medians(known, spec.number_columns)
     fills = medians.groupBy().agg(
         F.struct(*[F.max(F.when(F.col("column") == c, F.col("median"))).alias(c) for c in spec.number_columns])

@@ -11,7 +11,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
@@ -19,6 +19,7 @@ from ..operators.shaping import fill_nulls
 from ..sources.dimensions import literal_table
 from ..sources.files import write_partitioned
 from .features import FeatureSpec, build_features, fit_fills, scoring_row_to_leg
+from .lookup import by_ids
 
 
 def split_column(key: str, train_percent: int = 80, seed: int = 42) -> Column:
@@ -82,17 +83,25 @@ def pipeline(
     return Pipeline(stages=[*stages, classifier])
 
 
+def standardised(df: DataFrame, numbers: Sequence[str]) -> DataFrame:
+    """Numbers with mean 0 and standard deviation 1; rows with a missing number are left out."""
+    assembler = VectorAssembler(inputCols=list(numbers), outputCol="_numbers", handleInvalid="skip")
+    scaler = StandardScaler(inputCol="_numbers", outputCol="_scaled", withMean=True, withStd=True)
+    scaled = Pipeline(stages=[assembler, scaler]).fit(df).transform(df).withColumn("_scaled", vector_to_array("_scaled"))
+    return scaled.withColumns({name: F.col("_scaled")[at] for at, name in enumerate(numbers)}).drop("_numbers", "_scaled")
+
+
 def class_weights(training: DataFrame, weight: str = "weight") -> DataFrame:
     """Weight per label value with which both labels count the same in total."""
+    everything = Window.partitionBy()
+    rows, labels = F.sum("_rows").over(everything), F.count(F.lit(1)).over(everything)
     shares = training.groupBy("label").agg(F.count(F.lit(1)).alias("_rows"))
-    totals = shares.agg(F.struct(F.sum("_rows").alias("rows"), F.count(F.lit(1)).alias("labels"))).scalar()
-    return shares.select("label", (totals["rows"] / (totals["labels"] * F.col("_rows"))).alias(weight))
+    return shares.select("label", (rows / (labels * F.col("_rows"))).alias(weight))
 
 
 def with_class_weight(training: DataFrame, weight: str = "weight") -> DataFrame:
     """Add the weight column that a classifier takes as ``weightCol``."""
-    # One row per label value: the size is fixed by the label, not by the data.
-    return training.join(F.broadcast(class_weights(training, weight)), "label")
+    return training.join(class_weights(training, weight), "label")
 
 
 def fit(spec: FeatureSpec, training: DataFrame, classifier: Estimator, **options) -> PipelineModel:
@@ -131,15 +140,18 @@ def score_typed_rows(model: PipelineModel, rows: DataFrame, spec: FeatureSpec, f
     return score(model, built).select(*spec.categories, "prediction", "delay_probability")
 
 
-def score_date(model: PipelineModel, features: DataFrame, day: str, columns: Sequence[str]) -> DataFrame:
+def score_date(
+    model: PipelineModel | None, features: DataFrame, day: str, columns: Sequence[str], scorer=None
+) -> DataFrame:
     """Scored legs of one date in order of departure, with the printed labels.
 
-    The date filter stands before the model, so other days are neither read nor scored.
+    The date filter stands before the model, so other days are neither read nor scored. ``scorer`` may stand in
+    for the model, such as a rule.
     """
     of_day = features.filter(F.col("leg_day") == F.lit(day).cast("date"))
+    scored = scorer(of_day) if scorer else score(model, of_day)
     return (
-        score(model, of_day)
-        .select(
+        scored.select(
             *columns,
             "dep_minute_of_day",
             "prediction",
@@ -150,10 +162,11 @@ def score_date(model: PipelineModel, features: DataFrame, day: str, columns: Seq
     )
 
 
-def score_ids(model: PipelineModel, features: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """Scores for a table of ids; the semi join stands before the model."""
-    wanted = features.join(ids.select(key).distinct(), key, "left_semi")
-    return score(model, wanted).select(key, F.col("prediction").alias("delay"), "delay_probability")
+def score_ids(model: PipelineModel | None, features: DataFrame, ids: DataFrame, key: str, scorer=None) -> DataFrame:
+    """Scores for a table of ids; the semi join stands before the model (or the ``scorer`` in its place)."""
+    wanted = by_ids(features, ids, key)
+    scored = scorer(wanted) if scorer else score(model, wanted)
+    return scored.select(key, F.col("prediction").alias("delay"), "delay_probability")
 
 
 def evaluator_metrics(scored_raw: DataFrame) -> dict[str, float]:
@@ -162,7 +175,8 @@ def evaluator_metrics(scored_raw: DataFrame) -> dict[str, float]:
     Takes the model's own output with double ``prediction`` and vector ``probability``.
     """
     multi = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricLabel=1.0)
-    curve = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="probability")
+    # Without bins: every different score is a point of the curve.
+    curve = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="probability", numBins=0)
     names = {
         "accuracy": "accuracy",
         "f1": "f1",
@@ -201,6 +215,46 @@ def metrics_table(scored: DataFrame, *groups: str) -> DataFrame:
     )
 
 
+def curve_table(scored: DataFrame) -> DataFrame:
+    """Areas under the ROC and the precision-recall curve, from counts per different score in one pass.
+
+    Scores with equal values are one step of the curves; areas are sums of trapezoids, the precision-recall curve
+    starting at the precision of its first point. The running counts are over different scores, cut into
+    ``CURVE_PARTS`` parts by score so that no task holds all of them.
+    """
+    counts = scored.groupBy(F.col("delay_probability").alias("score")).agg(
+        F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")
+    )
+    parted = counts.withColumn("part", F.least(F.floor(F.col("score") * CURVE_PARTS), F.lit(CURVE_PARTS - 1)))
+    above = Window.orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)
+    starts = parted.groupBy("part").agg(F.sum("pos").alias("part_pos"), F.sum("neg").alias("part_neg"))
+    starts = starts.select(
+        F.col("part").alias("_part"),
+        F.coalesce(F.sum("part_pos").over(above), F.lit(0)).alias("_tp"),
+        F.coalesce(F.sum("part_neg").over(above), F.lit(0)).alias("_fp"),
+        F.sum("part_pos").over(Window.partitionBy()).alias("_all_pos"),
+        F.sum("part_neg").over(Window.partitionBy()).alias("_all_neg"),
+    )
+    inside = Window.partitionBy("part").orderBy(F.desc("score"))
+    placed = parted.join(starts, F.col("part").eqNullSafe(F.col("_part"))).select(
+        "pos", "neg", "_all_pos", "_all_neg",
+        (F.col("_tp") + F.sum("pos").over(inside)).alias("tp"),
+        (F.col("_fp") + F.sum("neg").over(inside)).alias("fp"),
+    )
+    before_tp, before_fp = F.col("tp") - F.col("pos"), F.col("fp") - F.col("neg")
+    roc = F.col("neg") * (F.col("tp") + before_tp) / 2
+    precision = F.col("tp") / (F.col("tp") + F.col("fp"))
+    before_precision = F.coalesce(F.try_divide(before_tp, before_tp + before_fp), precision)
+    pr = F.col("pos") * (precision + before_precision) / 2
+    all_pos, all_neg = F.max("_all_pos"), F.max("_all_neg")
+    return placed.agg(
+        F.try_divide(F.sum(roc), all_pos * all_neg).alias("roc_auc"), F.try_divide(F.sum(pr), all_pos).alias("pr_auc")
+    )
+
+
+CURVE_PARTS = 1024
+
+
 def confusion(scored: DataFrame) -> DataFrame:
     return scored.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("rows")).orderBy("label", "prediction")
 
@@ -226,6 +280,17 @@ def performance_over_time(scored: DataFrame, day: str = "leg_day", width: str =
     return metrics_table(weekly, "week").orderBy("week")
 
 
+def metrics_by_range(scored: DataFrame, months: int, day: str = "leg_day") -> DataFrame:
+    """Metrics of every range of ``months`` months that holds a row, starting anew each month.
+
+    A row takes part in as many ranges as they have months; tasks add up before the shuffle.
+    """
+    month = F.year(day) * 12 + F.month(day) - 1
+    starts = scored.withColumn("_month", F.explode(F.sequence(month - (months - 1), month)))
+    first = F.format_string("%d-%02d", F.floor(F.col("_month") / 12).cast("int"), F.pmod("_month", F.lit(12)) + 1)
+    return metrics_table(starts.withColumn("range_start", first), "range_start").orderBy("range_start")
+
+
 def feature_importance(spark: SparkSession, model: PipelineModel, sample: DataFrame) -> DataFrame:
     """``(feature, importance)`` of a tree model, names from the assembled vector's attributes.
 
@@ -281,30 +346,55 @@ def grid_results(spark: SparkSession, search: CrossValidatorModel) -> DataFrame:
 
 
 def compare_ranges(
-    raw: DataFrame, spec: FeatureSpec, key: str, classifier: Estimator, stored: str, day: str = "leg_day"
+    raw: DataFrame,
+    spec: FeatureSpec,
+    key: str,
+    classifier: Estimator,
+    stored: str,
+    day: str = "leg_day",
+    months: int = 6,
+    step: int = 6,
 ) -> DataFrame:
-    """Train and evaluate one model per half-year of unfilled features; one metrics row per range.
+    """Train and evaluate one model per range of months of unfilled features; one metrics row per range.
 
-    The features are stored once, by half-year, under ``stored``; each fit then reads its own folder. The
-    loop runs over half-years, of which a century has two hundred; each fit is a distributed job. The fill
-    values come from the range's own training rows. A range whose training rows have one label only gets
-    no model and no row.
+    The features are stored once, by range, under ``stored``; each fit then reads its own folders. The loop runs
+    over ranges, of which a century has 1,200; each fit is a distributed job. The fill values come from the
+    range's own training rows. ``months`` is the length of a range and ``step`` the distance of their starts, so
+    ``6, 6`` gives half-years and ``6, 1`` rolling ranges. Every range has a row; one that can't be trained or
+    tested (one label only, no rows) has NULL metrics.
     """
     spark = raw.sparkSession
-    half = F.concat_ws("-", F.year(day), F.when(F.month(day) <= 6, 1).otherwise(2))
-    write_partitioned(tag_split(raw, key).withColumn("half_year", half), stored, ["half_year", "split"])
-    features = spark.read.parquet(stored)
-    labels = features.filter("split = 'train'").groupBy("half_year").agg(F.count_distinct("label").alias("labels"))
-    ranges = [row["half_year"] for row in labels.filter("labels > 1").orderBy("half_year").limit(10_000).collect()]
+    month = F.year(day) * 12 + F.month(day) - 1
+    tagged = tag_split(raw, key).withColumn("month_number", month)
+    write_partitioned(tagged, stored, ["month_number", "split"])
+    features = spark.read.schema(tagged.schema).parquet(stored)
+    counts = {}
+    for row in features.groupBy("month_number", "split", "label").agg(F.count(F.lit(1)).alias("rows")).collect():
+        counts[row["month_number"], row["split"], row["label"]] = row["rows"]
+    present = sorted({number for number, _, _ in counts if number is not None})
+    first = present[0] // step * step if present else 0
     rows = []
-    for name in ranges:
-        inside = features.filter(F.col("half_year") == name)
-        training, test = (inside.filter(F.col("split") == part) for part in ("train", "test"))
+    for start in range(first, present[-1] + 1 if present else 0, step):
+        inside = F.col("month_number").between(start, start + months - 1)
+        sizes = {
+            (part, label): sum(n for (m, p, v), n in counts.items() if m is not None and start <= m < start + months and (p, v) == (part, label))
+            for part in ("train", "test")
+            for label in (0, 1)
+        }
+        name = f"{start // 12}-{start % 12 + 1:02d}"
+        if not all(sizes["train", label] for label in (0, 1)) or not sizes["test", 0] + sizes["test", 1]:
+            tested = sizes["test", 0] + sizes["test", 1]
+            rows.append(spark.createDataFrame([(name, tested, None, None, None, None)], RANGE_METRICS))
+            continue
+        training, test = (features.filter(inside & (F.col("split") == part)).drop("month_number", "split") for part in ("train", "test"))
         fills = fit_fills(training, spec)
         fitted = fit(spec, fill_nulls(training, fills), classifier)
         metrics = metrics_table(score(fitted, fill_nulls(test, fills)))
-        rows.append(metrics.select(F.lit(name).alias("half_year"), "*"))
-    return reduce(DataFrame.unionByName, rows)
+        rows.append(metrics.select(F.lit(name).alias("range_start"), "*"))
+    return reduce(DataFrame.unionByName, rows, spark.createDataFrame([], RANGE_METRICS))
+
+
+RANGE_METRICS = "range_start STRING, rows LONG, accuracy DOUBLE, precision DOUBLE, recall DOUBLE, f1 DOUBLE"
 
 
 def write_splits(features: DataFrame, key: str, path: str) -> None:

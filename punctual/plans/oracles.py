@@ -26,6 +26,7 @@ legs AS (
     CAST(((l_partkey + 2) % 24) * 100 + l_suppkey % 60 AS INTEGER) AS arr_hhmm,
     lpad(CAST(l_partkey % 24 AS VARCHAR), 2, '0') || '00-' || lpad(CAST(l_partkey % 24 AS VARCHAR), 2, '0') || '59' AS time_block,
     date_trunc('day', l_shipdate) + to_hours(l_partkey % 24) + to_minutes(l_suppkey % 60) AS dep_time,
+    date_trunc('day', l_shipdate) + to_hours((l_partkey + 2) % 24) + to_minutes(l_suppkey % 60) AS arr_time,
     l_quantity - 20 AS dep_delay,
     l_quantity - 25 AS arr_delay,
     greatest(l_quantity - 20, 0.0) AS dep_delay_minutes,
@@ -60,7 +61,7 @@ legs AS (
     CAST((p_size * 3) % 41 - 13 AS DOUBLE) AS dest_dew_point,
     CASE p_type WHEN 'PROMO' THEN CAST([] AS VARCHAR[]) WHEN 'LARGE' THEN NULL ELSE string_split(p_name, ' ') END AS origin_clouds,
     CASE p_type WHEN 'PROMO' THEN CAST([] AS VARCHAR[]) WHEN 'LARGE' THEN NULL ELSE list_reverse(string_split(p_name, ' ')) END AS dest_clouds,
-    CASE WHEN p_size % 3 = 0 THEN CAST([] AS VARCHAR[]) ELSE [p_type] END AS origin_precipitation,
+    CASE WHEN p_size % 11 = 0 THEN NULL WHEN p_size % 3 = 0 THEN CAST([] AS VARCHAR[]) ELSE [p_type] END AS origin_precipitation,
     CASE WHEN p_size % 5 = 0 THEN NULL WHEN p_size % 3 = 0 THEN CAST([] AS VARCHAR[]) ELSE [p_type] END AS dest_precipitation
   FROM lineitem
   LEFT JOIN orders ON l_orderkey = o_orderkey
@@ -122,17 +123,19 @@ MEASURES = (
     "dep_hhmm", "arr_hhmm", "dep_delay", "dep_delay_minutes", "arr_delay", "arr_delay_minutes", "elapsed",
     "carrier_delay", "weather_delay", "nas_delay", "security_delay", "late_aircraft_delay",
 )
-PROFILED = {
-    "carrier": "string",
-    "dep_del15": "double",
-    "weather_delay": "double",
-    "origin_wind_speed": "int",
-    "origin_visibility": "double",
-    "origin_clouds": "array<string>",
-    "dest_precipitation": "array<string>",
-    "origin_wind_gusts": "int",
-    "leg_date": "date",
+_KINDS = {
+    "bigint": "leg_id",
+    "date": "leg_date",
+    "int": "year month day_of_month day_of_week dep_hhmm arr_hhmm diverted cancelled dest_key origin_key origin_wind_speed "
+    "dest_wind_speed origin_wind_direction dest_wind_direction origin_wind_gusts dest_wind_gusts",
+    "string": "time_block carrier operator dest_city origin_city",
+    "timestamp_ntz": "dep_time arr_time",
+    "double": "dep_delay arr_delay dep_delay_minutes arr_delay_minutes arr_del15 elapsed weather_delay carrier_delay "
+    "nas_delay security_delay dep_del15 late_aircraft_delay origin_visibility dest_visibility origin_temperature "
+    "dest_temperature origin_dew_point dest_dew_point",
+    "array<string>": "origin_clouds dest_clouds origin_precipitation dest_precipitation",
 }
+PROFILED = {column: kind for kind, columns in _KINDS.items() for column in columns.split()}
 FEATURE_NUMBERS = (
     "year", "month", "day_of_month", "day_of_week", "origin_wind_direction", "origin_wind_speed",
     "origin_visibility", "dest_wind_direction", "dest_wind_speed", "dest_visibility",
@@ -153,6 +156,10 @@ def _correlations() -> str:
     return _legs(f", one AS MATERIALIZED (SELECT {', '.join(MEASURES)} FROM legs WHERE {ONE}) {_union(cells)}")
 
 
+def _extreme(function: str, column: str, kind: str) -> str:
+    return "CAST(NULL AS VARCHAR)" if kind.startswith("array") else f"CAST({function}({column}) AS VARCHAR)"
+
+
 FRAMES = """
 frames AS (
   SELECT station, role, window_start, window_start + INTERVAL 60 DAY AS window_end,
@@ -203,6 +210,9 @@ def _rolling() -> str:
     return _union(parts)
 
 
+SPLIT_BUCKET = "CAST('0x' || substr(md5('42:' || CAST(leg_id AS VARCHAR)), 1, 7) AS BIGINT) % 100"
+
+
 def _feature_table() -> str:
     numbers = [*FEATURE_NUMBERS, "DepHour", "ArrHour", "DepMinute", "ArrMinute", "is_weekend"]
     categories = ["carrier", "operator", "origin_city", "dest_city"]
@@ -220,7 +230,7 @@ def _feature_table() -> str:
             CAST(dep_hhmm // 100 * 60 + dep_hhmm % 100 AS INTEGER) AS dep_minute_of_day,
             CAST(dep_del15 AS INTEGER) AS label
           FROM legs),
-        m AS (SELECT {medians} FROM raw WHERE label IS NOT NULL)
+        m AS (SELECT {medians} FROM raw WHERE label IS NOT NULL AND {SPLIT_BUCKET} < 80)
         SELECT leg_id, leg_day, {', '.join(categories)}, {', '.join(lists)}, {filled}, dep_minute_of_day, label
         FROM raw, m"""
     )
@@ -248,9 +258,58 @@ def _metrics(week: str = "") -> str:
     FROM c"""
 
 
+SCORED = """, s AS (
+  SELECT leg_id, origin_city, dest_city, leg_date, CAST(dep_hhmm // 100 * 60 + dep_hhmm % 100 AS INTEGER) AS minute,
+         CAST(dep_del15 AS INTEGER) AS label FROM legs),
+  p AS (SELECT *, CASE WHEN minute >= 720 THEN 1 ELSE 0 END AS prediction,
+               CAST(round(CAST(CAST(minute / 1440 AS VARCHAR) AS DECIMAL(38,18)), 3) AS DOUBLE) AS probability FROM s)"""
+
+
 VALID_EVENT = "event_id % 97 <> 96"
 STATION = "'K' || lpad(CAST(user_id % 1000 AS VARCHAR), 3, '0')"
 
+DECODED = f"""
+        SELECT event_id, {STATION} AS station, date_trunc('minute', ts) AS obs_time,
+          CAST(CASE WHEN event_id % 13 <> 0 THEN event_id % 36 * 10 END AS INTEGER) AS wind_direction,
+          CAST(event_id % 40 AS INTEGER) AS wind_speed,
+          CAST(CASE WHEN event_id % 4 = 0 THEN event_id % 40 + 10 END AS INTEGER) AS wind_gusts,
+          CASE WHEN event_id % 11 = 0 THEN 0.5::DOUBLE WHEN event_id % 11 = 1 THEN 1.5::DOUBLE
+               ELSE CAST(event_id % 10 + 1 AS DOUBLE) END AS visibility,
+          ['', 'rain', 'thunderstorm rain', 'fog', 'rain,mist', '', ''][event_id % 7 + 1] AS precipitation,
+          ['few', 'scattered', 'broken', 'overcast', 'clear'][event_id % 5 + 1] AS clouds,
+          CAST(event_id % 41 - 10 AS DOUBLE) AS temperature, CAST(event_id % 41 - 13 AS DOUBLE) AS dew_point
+        FROM events WHERE {VALID_EVENT}"""
+WEATHER = "wind_direction wind_speed wind_gusts visibility precipitation clouds temperature dew_point".split()
+
+
+def _enriched() -> str:
+    """Both roles by an as-of join in UTC with a tolerance of two days."""
+    greatest = ", ".join(f"{c} DESC NULLS LAST" for c in WEATHER)
+    picked = ", ".join(
+        f"CASE WHEN {r}.obs_time >= {t} - INTERVAL 2 DAY THEN {r}.{c} END AS {role}_{c}"
+        for role, r, t in (("origin", "a", "dep_utc"), ("dest", "b", "arr_utc"))
+        for c in WEATHER
+    )
+    return f"""
+        WITH o AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY station, obs_time ORDER BY {greatest}) AS place
+                                  FROM ({DECODED})) WHERE place = 1),
+        f AS (SELECT CAST(l_orderkey AS INTEGER) AS order_key, CAST(l_linenumber AS INTEGER) AS line, l_quantity - 25 AS arr_delay,
+            'K' || lpad(CAST(s_nationkey AS VARCHAR), 3, '0') AS origin, 'K' || lpad(CAST(c_nationkey AS VARCHAR), 3, '0') AS dest,
+            s_nationkey % 4 + 5 AS ow, c_nationkey % 4 + 5 AS dw,
+            TIMESTAMP '2024-01-01' + to_days(CAST(l_orderkey % 30 AS INTEGER)) AS day,
+            to_hours(l_partkey % 24) + to_minutes(l_suppkey % 60) AS dep, to_hours((l_partkey + 2) % 24) + to_minutes(l_suppkey % 60) AS arr
+          FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+          JOIN supplier ON l_suppkey = s_suppkey WHERE l_linenumber <> 7),
+        g AS (SELECT *, day + dep AS departure, day + dep + to_hours(ow) AS dep_utc,
+                CASE WHEN day + arr + to_hours(dw) < day + dep + to_hours(ow) THEN day + arr + INTERVAL 1 DAY ELSE day + arr END AS arrival
+              FROM f),
+        h AS (SELECT *, arrival + to_hours(dw) AS arr_utc FROM g)
+        SELECT order_key, line, origin, dest, strftime(departure, {SECONDS}) AS departure, strftime(arrival, {SECONDS}) AS arrival,
+          arr_delay, {picked}
+        FROM h ASOF LEFT JOIN o a ON h.origin = a.station AND h.dep_utc >= a.obs_time
+        ASOF LEFT JOIN o b ON h.dest = b.station AND h.arr_utc >= b.obs_time"""
+
+
 ORACLES: dict[str, str] = {
     "dest_delay_avg": _legs(
         "SELECT dest_city, count(*) AS num_legs, avg(dep_delay) AS avg_dep_delay, avg(arr_delay) AS avg_arr_delay "
@@ -310,7 +369,7 @@ ORACLES: dict[str, str] = {
         f""", b AS (SELECT DISTINCT lpad(CAST(arr_hhmm // 100 AS VARCHAR), 2, '0') || '00-' ||
                     lpad(CAST(arr_hhmm // 100 AS VARCHAR), 2, '0') || '59' AS time_block FROM legs),
         d AS (SELECT time_block, count(*) AS n, {rnd('avg(weather_delay)')} AS a FROM legs
-              WHERE weather_delay > 0 AND time_block < '1200' GROUP BY 1)
+              WHERE weather_delay > 0 GROUP BY 1)
         SELECT b.time_block, coalesce(n, 0) AS num_weather_delays, coalesce(a, 0.0) AS avg_weather_delay
         FROM b LEFT JOIN d ON b.time_block = d.time_block"""
     ),
@@ -401,7 +460,7 @@ ORACLES: dict[str, str] = {
         {rnd('avg(dest_wind_speed)')} AS avg_wind_speed, {rnd(DELAYED_PCT)} AS delay_rate_pct FROM legs GROUP BY 1"""
     ),
     "precip_delay": _legs(
-        f"""SELECT {_label('dest_precipitation', ', ')} AS precipitation, count(*) AS total_legs,
+        f"""SELECT {_label('origin_precipitation', ', ')} AS precipitation, count(*) AS total_legs,
         {DELAYED} AS delayed_legs, {rnd(DELAYED_PCT)} AS delay_rate_pct, {rnd('avg(arr_delay)')} AS avg_arr_delay
         FROM legs GROUP BY 1"""
     ),
@@ -427,9 +486,8 @@ ORACLES: dict[str, str] = {
     "table_profile": _legs(
         _union(
             f"""SELECT '{c}' AS "column", '{kind}' AS type, count(*) AS rows, count(*) - count({c}) AS nulls,
-            CAST(min({c}) AS VARCHAR) AS min, CAST(max({c}) AS VARCHAR) AS max FROM legs"""
+            {_extreme('min', c, kind)} AS min, {_extreme('max', c, kind)} AS max FROM legs"""
             for c, kind in PROFILED.items()
-            if not kind.startswith("array")
         )
     ),
     "station_timeframes": _legs(
@@ -438,11 +496,12 @@ ORACLES: dict[str, str] = {
         strftime(end_date, {SECONDS}) AS end_date, records FROM frames"""
     ),
     "observation_requests": _legs(
-        f""", {FRAMES}, r AS (SELECT station, role, start_date - INTERVAL 1 DAY AS s, end_date + INTERVAL 1 DAY AS e FROM frames)
+        f""", utc AS (SELECT origin_city, dest_city, dep_time + to_hours(origin_key % 4 + 5) AS dep_time FROM legs), {FRAMES.replace('FROM legs', 'FROM utc')}, r AS (
+          SELECT station, role, start_date - INTERVAL 1 DAY AS s, end_date + INTERVAL 1 DAY AS e FROM frames)
         SELECT station, role, CAST(year(s) AS INTEGER) AS year1, CAST(month(s) AS INTEGER) AS month1,
           CAST(day(s) AS INTEGER) AS day1, CAST(year(e) AS INTEGER) AS year2, CAST(month(e) AS INTEGER) AS month2,
           CAST(day(e) AS INTEGER) AS day2,
-          format('station={{}}&data=metar&year1={{}}&month1={{}}&day1={{}}&year2={{}}&month2={{}}&day2={{}}&tz=Etc/UTC',
+          format('station={{}}&data=metar&year1={{}}&month1={{}}&day1={{}}&year2={{}}&month2={{}}&day2={{}}&tz=Etc/UTC&format=onlytdf&latlon=no&elev=no&missing=M&trace=T&direct=no&report_type=2',
                  station, year(s), month(s), day(s), year(e), month(e), day(e)) AS query
         FROM r"""
     ),
@@ -507,7 +566,7 @@ ORACLES: dict[str, str] = {
     ),
     "legs_of_one_day": _legs(
         """SELECT leg_id, dep_hhmm // 100 * 60 + dep_hhmm % 100 AS departure_minute FROM legs
-        WHERE dest_city = 'NATION_7' AND leg_date = DATE '1998-06-15'"""
+        WHERE dest_city = 'NATION_10' AND leg_date = DATE '1998-03-17'"""
     ),
     "replay_envelopes": f"""
         SELECT strftime(time_bucket(INTERVAL 5 MINUTE, ts, TIMESTAMP '1970-01-01'), {SECONDS}) AS window_start,
@@ -534,6 +593,70 @@ ORACLES: dict[str, str] = {
     "rule_performance_over_time": _legs(
         _metrics("time_bucket(INTERVAL 7 DAY, CAST(leg_date AS TIMESTAMP), TIMESTAMP '1970-01-01') AS week,")
     ),
+    "rule_rolling_ranges": _legs(
+        _metrics("(m // 12) || '-' || lpad(CAST(m % 12 + 1 AS VARCHAR), 2, '0') AS week,")
+        .replace("FROM legs WHERE", "FROM legs WHERE", 1)
+        .replace(", c AS (SELECT", ", q AS (SELECT r.*, unnest(range(year(leg_date) * 12 + month(leg_date) - 6, "
+                 "year(leg_date) * 12 + month(leg_date))) AS m FROM r), c AS (SELECT", 1)
+        .replace("FROM r GROUP BY week", "FROM q GROUP BY week")
+        .replace(f"strftime(week, {SECONDS}) AS week", "week AS range_start")
+    ),
+    "rule_curve_metrics": _legs(
+        f"""{SCORED}, g AS (SELECT probability, sum(label) AS pos, sum(1 - label) AS neg FROM p WHERE label IS NOT NULL GROUP BY 1),
+        t AS (SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER () AS allp, sum(neg) OVER () AS alln
+              FROM g WINDOW w AS (ORDER BY probability DESC)),
+        u AS (SELECT *, tp / (tp + fp) AS prec, coalesce((tp - pos) / nullif(tp - pos + fp - neg, 0), tp / (tp + fp)) AS before FROM t)
+        SELECT round(CAST(sum(neg * (tp + tp - pos) / 2) / max(allp) / max(alln) AS DOUBLE), 9) AS roc_auc,
+               round(CAST(sum(pos * (prec + before) / 2) / max(allp) AS DOUBLE), 9) AS pr_auc FROM u"""
+    ),
+    "rule_score_date": _legs(
+        f"""{SCORED} SELECT origin_city, dest_city, leg_id, minute AS dep_minute_of_day, prediction,
+        CASE WHEN prediction = 1 THEN 'DELAYED' ELSE 'On Time' END AS status, printf('%.3f', probability) AS probability
+        FROM p WHERE leg_date = DATE '1998-03-17'"""
+    ),
+    "rule_score_ids": _legs(
+        f"""{SCORED} SELECT leg_id, prediction AS delay, probability AS delay_probability
+        FROM p WHERE leg_id IN (SELECT leg_id FROM s WHERE leg_date = DATE '1998-03-17')"""
+    ),
+    "enrich_legs": _enriched(),
+    "stream_late_rows": f"""
+        WITH e AS (SELECT *, least((day(ts) - 1) // 8, 3) AS week, event_id % 50 = 0 AS late,
+                          time_bucket(INTERVAL 15 MINUTE, ts, TIMESTAMP '1970-01-01') AS slot FROM events),
+        w AS (SELECT max(ts) - INTERVAL 1 DAY AS mark FROM e WHERE NOT late AND week <= 2)
+        SELECT event_type, strftime(slot, {SECONDS}) AS window_start, count(*) AS num_events
+        FROM e, w WHERE NOT late OR slot + INTERVAL 15 MINUTE > mark GROUP BY 1, 2""",
+    "stream_mean_scores": """
+        SELECT user_id AS station, strftime(ts, '%Y-%m-%d') AS day, count(*) AS num_legs,
+          round(CAST(sum(CAST(round(CAST(CAST((hour(ts) * 60 + minute(ts)) / 1440 AS VARCHAR) AS DECIMAL(38,18)), 3) AS DECIMAL(18,3))) AS DOUBLE)
+                / count(*), 6) AS mean_probability
+        FROM events GROUP BY 1, 2""",
+    "shaped_legs": """
+        SELECT l_orderkey, l_linenumber AS leg_line, l_tax AS LegTax, l_discount AS LegDiscount, 7.0::DOUBLE AS bonus,
+          strftime(l_shipdate, '%Y-%m-%d') || ' 0' || (l_suppkey % 10) || ':52:00' AS at,
+          CAST(l_partkey % 24 * 60 + l_suppkey % 60 AS INTEGER) AS minutes,
+          CASE WHEN l_linenumber = 1 THEN 'None' ELSE l_returnflag || ',' || l_linestatus END AS flags,
+          CASE WHEN isodow(l_shipdate) >= 6 THEN 1 ELSE 0 END AS weekend FROM lineitem""",
+    "stored_splits": _legs(
+        f"""SELECT CASE WHEN {SPLIT_BUCKET} < 80 THEN 'train' ELSE 'test' END AS split, CAST(dep_del15 AS INTEGER) AS label,
+        count(*) AS rows FROM legs WHERE dep_del15 IS NOT NULL GROUP BY 1, 2"""
+    ),
+    "archived_raw": """
+        SELECT CASE WHEN event_id % 2 = 0 THEN '2024-02-01' ELSE '2024-02-02' END AS load_day, count(*) AS lines,
+          min(event_id) AS first_event, max(event_id) AS last_event FROM events GROUP BY 1""",
+    "time_sorted_rows": "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS wrong FROM events",
+    "filled_from_file": _legs(
+        "SELECT "
+        + ", ".join(
+            f"sum(coalesce(CAST({c} AS DOUBLE), (SELECT median({c}) FROM legs))) AS {c}"
+            for c in ("origin_wind_speed", "origin_visibility", "dest_wind_speed")
+        )
+        + " FROM legs"
+    ),
+    "hash_sample": _legs(f"SELECT leg_id, arr_delay FROM legs WHERE {SPLIT_BUCKET.replace('42:', '7:')} < 10"),
+    "scaled_numbers": _legs(
+        """, s AS (SELECT avg(dep_delay) AS a, stddev_samp(dep_delay) AS b, avg(elapsed) AS c, stddev_samp(elapsed) AS d FROM legs)
+        SELECT leg_id, round((dep_delay - a) / b, 6) AS dep_delay, round((elapsed - c) / d, 6) AS elapsed FROM legs, s"""
+    ),
     "class_weights": _legs(
         """SELECT CAST(dep_del15 AS INTEGER) AS label,
         CAST(sum(count(*)) OVER () AS DOUBLE) / (count(*) OVER () * count(*)) AS weight

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Airport number, weather station, time zone.
 AIRPORTS = [
@@ -31,14 +30,10 @@ CARRIER_NAMES = {
     "WN": "Southwest Airlines",
 }
 
-MAX_LITERAL_ROWS = 10_000
-
 
 def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A table from Python rows, marked for broadcast because its length is known and checked here."""
-    if len(rows) > MAX_LITERAL_ROWS:
-        raise ValueError(f"{len(rows)} rows are too many for a literal table; read them from a file")
-    return F.broadcast(spark.createDataFrame(list(rows), schema))
+    """A table from Python rows. Spark knows the size of such a table and broadcasts it only below its threshold."""
+    return spark.createDataFrame(list(rows), schema)
 
 
 def airports(spark: SparkSession) -> DataFrame:

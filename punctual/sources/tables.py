@@ -138,7 +138,10 @@ LEG_COLUMNS: dict[str, tuple[str, Callable[[], Column]]] = {
     "dest_dew_point": ("part", lambda: _size("(p_size * 3) % 41 - 13", "double")),
     "origin_clouds": ("part", _clouds),
     "dest_clouds": ("part", lambda: F.reverse(_clouds())),
-    "origin_precipitation": ("part", _precipitation),
+    "origin_precipitation": (
+        "part",
+        lambda: F.when(F.col("p_size") % 11 == 0, F.lit(None).cast("array<string>")).otherwise(_precipitation()),
+    ),
     "dest_precipitation": (
         "part",
         lambda: F.when(F.col("p_size") % 5 == 0, F.lit(None).cast("array<string>")).otherwise(_precipitation()),

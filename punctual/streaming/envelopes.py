@@ -55,16 +55,22 @@ def envelope_lines(envelopes: DataFrame) -> DataFrame:
     return envelopes.select(F.to_json(envelope, TIME_FORMATS).alias("value"), "window_start", "page")
 
 
-def publish(df: DataFrame, time: str, path: str, width: str = "5 minutes", page_size: int = 1000) -> None:
+def publish(
+    df: DataFrame, time: str, path: str, width: str = "5 minutes", page_size: int = 1000, files: int | None = None
+) -> None:
     """Write the envelopes of a table as JSON lines, in slot order across and within files.
 
+    ``files`` is the number of files; without it Spark chooses by size.
+
     NaN becomes NULL, which JSON has a word for.
     """
     numbers = {name: nan_to_null(name) for name, kind in df.dtypes if kind in ("double", "float")}
     clean = df.withColumns(numbers) if numbers else df
     lines = envelope_lines(build_envelopes(clean, time, width, page_size))
     # The page number in the range key lets one busy slot be written by several tasks.
-    ordered = lines.repartitionByRange("window_start", "page").sortWithinPartitions("window_start", "page")
+    keys = ["window_start", "page"]
+    ranged = lines.repartitionByRange(files, *keys) if files else lines.repartitionByRange(*keys)
+    ordered = ranged.sortWithinPartitions("window_start", "page")
     ordered.select("value").write.mode("overwrite").text(path)
 
 

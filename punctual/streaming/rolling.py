@@ -18,6 +18,12 @@ def event_time(stream: DataFrame, time: str, lateness: str) -> DataFrame:
     return stream.withWatermark(time, lateness)
 
 
+def whole_span(rows: DataFrame, time: str) -> str:
+    """A lateness that no row of a finite table exceeds, in whatever order its files are read."""
+    limits = rows.agg(F.unix_seconds(F.min(time).cast("timestamp")), F.unix_seconds(F.max(time).cast("timestamp"))).first()
+    return f"{(limits[1] or 0) - (limits[0] or 0) + 1} seconds"
+
+
 def without_duplicates(stream: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Drop repeated keys; the state is cleared as the watermark moves on."""
     return stream.dropDuplicatesWithinWatermark(list(keys))

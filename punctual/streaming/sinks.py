@@ -45,8 +45,16 @@ def per_batch_folders(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        result = change(batch) if change else batch
-        result.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        target = f"{path}/batch={batch_id}"
+        if change is None:
+            batch.write.mode("overwrite").parquet(target)
+            return
+        # A change may read its batch several times.
+        batch.persist()
+        try:
+            change(batch).write.mode("overwrite").parquet(target)
+        finally:
+            batch.unpersist()
 
     return (
         stream.writeStream.outputMode(mode)
@@ -57,6 +65,12 @@ def per_batch_folders(
     )
 
 
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows that a finished query left out because they came later than its watermark allows."""
+    operators = [state for progress in query.recentProgress for state in progress["stateOperators"]]
+    return sum(state["numRowsDroppedByWatermark"] for state in operators)
+
+
 def latest_state(written: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The newest version of each key in a table written batch by batch in update mode."""
     newest = Window.partitionBy(*keys).orderBy(F.desc("batch"))

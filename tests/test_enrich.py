@@ -57,6 +57,8 @@ def test_shape(written):
     assert set(table.columns) == set(schemas.ENRICHED_LEG.fieldNames())
     assert len(table.columns) == 68
     assert table.count() == 4
+    kinds = {field.name: field.dataType for field in schemas.ENRICHED_LEG}
+    assert all(kinds[field.name] == field.dataType for field in table.schema if field.name not in ("Year", "Month"))
     assert (folder / "out" / "Year=2024" / "Month=2").is_dir()
 
 
@@ -99,6 +101,54 @@ def test_weather_at_arrival_is_an_option(spark, written):
     assert joined.filter("DestAirportID = 10397").first()["DestVisibility"] == 3.0
 
 
+def csv_of(folder, names, rows):
+    path = folder / "in.csv"
+    path.write_text("\n".join([",".join(names), *[",".join("" if r.get(n.strip()) is None else f'"{r[n.strip()]}"' for n in names) for r in rows]]) + "\n")
+    return str(path)
+
+
+def test_csv_is_read_by_header_names(spark, tmp_path):
+    names = [*reversed(schemas.LEG.fieldNames()), "Extra"]
+    names[3] = f" {names[3]} "
+    legs = files.read_legs_csv(spark, csv_of(tmp_path, names, [leg(Extra="x")]))
+    row = legs.first()
+    assert legs.columns == [*schemas.LEG.fieldNames(), "malformed"]
+    assert (row["Year"], row["Month"], row["Dest"], row["malformed"]) == (2024, 1, "ATL", None)
+
+
+def test_csv_without_a_column_is_an_error(spark, tmp_path):
+    names = [name for name in schemas.LEG.fieldNames() if name != "Dest"]
+    with pytest.raises(ValueError, match="no column Dest"):
+        files.read_legs_csv(spark, csv_of(tmp_path, names, [leg()]))
+
+
+def test_malformed_lines_are_counted(spark, tmp_path):
+    legs = files.read_legs_csv(spark, csv_of(tmp_path, schemas.LEG.fieldNames(), [leg(), leg(Year="many"), leg()]))
+    assert {r["is_malformed"]: r["lines"] for r in files.count_malformed(legs).collect()} == {False: 2, True: 1}
+
+
+def test_overnight_arrival_is_on_the_next_day(spark):
+    legs = spark.createDataFrame(
+        [(11057, 10397, "2024-01-06", 2300, 130), (12892, 10397, "2024-01-06", 2300, 630), (10397, 12892, "2024-01-06", 900, 1030)],
+        "OriginAirportID INT, DestAirportID INT, FlightDate STRING, CRSDepTime INT, CRSArrTime INT",
+    ).withColumn("FlightDate", F.to_date("FlightDate"))
+    from punctual.sources.dimensions import airports
+
+    timed = enrich.with_schedule_times(enrich.with_airports(legs, airports(spark)))
+    assert sorted(row["CRSArrTimestamp"].isoformat() for row in timed.collect()) == [
+        "2024-01-06T10:30:00", "2024-01-07T01:30:00", "2024-01-07T06:30:00"
+    ]
+
+
+def test_unknown_airports_are_counted(spark, written):
+    _, folder = written
+    from punctual.sources.dimensions import airports
+
+    legs = files.read_legs_csv(spark, str(folder / "legs.csv"))
+    found = enrich.unknown_airports(legs, airports(spark)).collect()
+    assert [(r["role"], r["AirportID"], r["legs"]) for r in found] == [("Origin", 1, 1)]
+
+
 def test_inferred_csv_strips_header_spaces(spark, written):
     _, folder = written
     assert "Operating_Airline" in files.read_csv_inferred(spark, str(folder / "legs.csv")).columns
@@ -156,7 +206,9 @@ def test_hand_typed_leg(spark):
 def test_fill_values_round_trip(spark, tmp_path):
     fills = {"Year": 2024.0, "OriginWindSpeed": 5.5}
     files.write_fill_values(spark, fills, str(tmp_path / "fills"))
-    assert files.read_fill_values(spark, str(tmp_path / "fills")) == fills
+    assert files.read_fill_values(spark, str(tmp_path / "fills"), list(fills)) == fills
+    with pytest.raises(ValueError, match="Month"):
+        files.read_fill_values(spark, str(tmp_path / "fills"), ["Year", "Month"])
 
 
 def test_projected_scan_and_time_order(spark, written, tmp_path):
@@ -164,7 +216,10 @@ def test_projected_scan_and_time_order(spark, written, tmp_path):
     narrow = files.read_parquet(spark, str(folder / "out"), ["Origin", "Dest"])
     assert files.peek(narrow, ["Dest"], 2).count() == 2
     files.write_sorted_by_time(table, str(tmp_path / "sorted"), "CRSDepTimestamp")
-    assert spark.read.parquet(str(tmp_path / "sorted")).count() == 4
+    names = sorted((tmp_path / "sorted").glob("part-*.parquet"))
+    stored = [r["CRSDepTimestamp"] for name in names for r in spark.read.parquet(str(name)).collect()]
+    known = [time for time in stored if time is not None]
+    assert len(stored) == 4 and known == sorted(known)
 
 
 def test_content_hash_ids(spark, written):

@@ -130,7 +130,26 @@ def test_grid_and_half_years(spark, legs, parts, tmp_path):
     assert [r["roc_auc"] for r in results if r["best"]] == [max(r["roc_auc"] for r in results)]
     raw = features.labelled(features.raw_features(legs, SPEC))
     ranges = model.compare_ranges(raw, SPEC, "id", model.random_forest(trees=2, depth=3, seed=1), str(tmp_path / "h"))
-    assert [r["half_year"] for r in ranges.collect()] == ["2024-1", "2024-2", "2025-1"]
+    assert [r["range_start"] for r in ranges.collect()] == ["2024-01", "2024-07", "2025-01"]
+
+
+def test_every_range_has_a_row(spark, legs, tmp_path):
+    raw = features.labelled(features.raw_features(legs, SPEC)).filter("leg_day < '2024-03-01' OR label = 0")
+    ranges = model.compare_ranges(raw, SPEC, "id", model.random_forest(trees=2, depth=3, seed=1), str(tmp_path / "r"), months=2, step=1)
+    got = {r["range_start"]: r for r in ranges.collect()}
+    assert list(got) == [*[f"2024-{m:02d}" for m in range(1, 13)], "2025-01", "2025-02"]
+    assert got["2024-01"]["accuracy"] is not None and got["2024-06"]["accuracy"] is None and got["2024-06"]["rows"] > 0
+    empty = model.compare_ranges(raw.limit(0), SPEC, "id", model.random_forest(), str(tmp_path / "e"))
+    assert empty.count() == 0
+
+
+def test_curve_areas_equal_the_evaluator(spark, parts, trees):
+    (_, test), _ = parts
+    raw = trees.transform(test).select(F.col("label").cast("double").alias("label"), "prediction", "probability")
+    wanted = model.evaluator_metrics(raw)
+    got = model.curve_table(model.score(trees, test)).first()
+    assert got["roc_auc"] == pytest.approx(wanted["roc_auc"], abs=1e-9)
+    assert got["pr_auc"] == pytest.approx(wanted["pr_auc"], abs=1e-6)
 
 
 def test_stored_splits(spark, parts, tmp_path):

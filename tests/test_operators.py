@@ -29,9 +29,10 @@ def test_role_join_keeps_known_keys_only(spark):
     assert [tuple(r) for r in legs.select("id", "o_icao", "d_icao").collect()] == [(1, "KATL", "KDFW")]
 
 
-def test_literal_table_is_bounded(spark):
-    with pytest.raises(ValueError):
-        dimensions.literal_table(spark, [(i,) for i in range(10_001)], "i INT")
+def test_literal_table_has_no_limit_and_no_hint(spark):
+    table = dimensions.literal_table(spark, [(i,) for i in range(10_001)], "i INT")
+    assert table.count() == 10_001
+    assert "ResolvedHint" not in table._jdf.queryExecution().logical().toString()
 
 
 def test_densify(spark, rows):

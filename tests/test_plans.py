@@ -6,9 +6,9 @@ from __spark_entry__ import oracle_sql, queries
 from punctual.sources.tables import LEG_COLUMNS, legs
 
 FOLDER = "/root/testdata/sf0.001"
-BATCH = sorted(name for name in oracle_sql() if not name.startswith("stream_"))
-# One query's task-side matrix products need Python; everything else stays in the JVM.
-WITH_PYTHON = {"delay_corr_matrix"}
+ASOF = ("asof_weather", "asof_two_roles", "nearest_observation")
+# The corpus operators have plan tests of their own.
+BATCH = sorted(name for name in oracle_sql() if not name.startswith(("stream_", "op", "enrich_legs")))
 
 
 def plan(df):
@@ -20,8 +20,8 @@ def test_no_cross_join_and_no_python_rows(spark, name):
     text = plan(queries()[name](spark, FOLDER))
     for forbidden in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
         assert forbidden not in text
-    if name not in WITH_PYTHON:
-        assert "Python" not in text and "MapInPandas" not in text
+    assert "Python" not in text and "MapInPandas" not in text
+    assert "unboundedfollowing" not in text.lower().replace(" ", "") or name not in ASOF
 
 
 def test_leg_view_reads_and_joins_only_what_is_asked(spark):
@@ -54,3 +54,11 @@ def test_aggregations_start_before_the_shuffle(spark):
 def test_only_small_results_are_ordered_globally(spark):
     for name in ("feature_table", "asof_weather", "decode_observations", "legs_by_dest_date", "sched_timestamps"):
         assert "rangepartitioning" not in plan(queries()[name](spark, FOLDER))
+
+
+def test_roles_share_one_pass(spark):
+    """Per role the points are planned twice (equal exchanges are reused when it runs), and the result reads once more."""
+    physical = plan(queries()["asof_two_roles"](spark, FOLDER)).split("== Physical Plan ==")[1]
+    assert physical.count("EqualTo(event_type,purchase)") <= 5
+    frames = plan(queries()["station_timeframes"](spark, FOLDER)).split("== Physical Plan ==")[1]
+    assert frames.count("SortMergeJoin") + frames.count("BroadcastHashJoin") <= 5
