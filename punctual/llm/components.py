@@ -17,7 +17,8 @@ from ..session import stored
 def _to_least(directed: DataFrame) -> DataFrame:
     """With every edge (u, v), the least of u and all its v."""
     least = directed.groupBy("u").agg(F.min("v").alias("least")).select("u", F.least("u", "least").alias("least"))
-    return directed.join(least, "u")
+    # Without its own exchange the join would take over the aggregate's partitions, and a hub could not be split.
+    return directed.join(least.hint("rebalance"), "u")
 
 
 def connected(edges: DataFrame, first: str, second: str) -> DataFrame:
