@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.dimensions import literal_table
+
 
 def _long_form(wide: DataFrame, cells: Sequence[tuple[Sequence[Column], Column]], names: Sequence[str]) -> DataFrame:
     """One wide summary row -> one row per cell."""
@@ -128,8 +130,9 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int | None
     corr = F.when(corr.isNotNull(), F.least(F.greatest(corr, F.lit(-1.0)), F.lit(1.0)))
     if digits is not None:
         corr = F.round(corr, digits)
-    names = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in pairs])
-    named = sums.select(F.get(names, F.col("pair")).alias("names"), corr.alias("corr"))
+    # Every pair has a row, also where the table has none.
+    names = literal_table(df.sparkSession, list(enumerate(pairs)), "pair INT, names STRUCT<x: STRING, y: STRING>")
+    named = names.join(sums, "pair", "left").select("names", corr.alias("corr"))
     other = F.struct(F.col("names.y").alias("x"), F.col("names.x").alias("y"))
     return named.select("corr", F.inline(F.array_distinct(F.array("names", other)))).select("x", "y", "corr")
 
