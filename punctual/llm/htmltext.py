@@ -48,14 +48,16 @@ _LEFT_OUT = set(
 _LEFT_OUT_ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
 _WHOLE = {"html", "body", "main"}
 
-# Parts of class and id names that mark what is not the article, and those that speak against it.
+# Parts of class and id names that mark what is not the article; those that turn this round, as in
+# "has-sidebar"; and those with which a header is the article's own.
 _NOT_ARTICLE = re.compile(
     r"ads?|adv|adverts?|advertisements?|advertising|sponsor(?:ed|s)?|promos?|promotions?|banners?|nav|navbar|navigation|"
     r"menus?|breadcrumbs?|masthead|header|footer|sidebars?|aside|widgets?|cookies?|consent|gdpr|notices?|alerts?|popups?|"
     r"modals?|overlays?|comments?|commentlist|disqus|replies|respond|share|sharing|social|related|recommended|"
     r"recommendations|newsletter|subscribe|signup|login|search|pager|pagination|copyright|toolbar|paywall"
 )
-_ARTICLE_NAME = re.compile(r"article|content|main|post|entry|story|text|body|has|with|no|page|wrapper|container")
+_TURNED_ROUND = re.compile(r"has|with|without|no|layout|open")
+_ARTICLE_NAME = re.compile(r"article|content|post|entry|story")
 
 
 def _left_out(name: str, rest: str, in_article: bool) -> bool:
@@ -76,9 +78,10 @@ def _left_out(name: str, rest: str, in_article: bool) -> bool:
         if key in ("class", "id"):
             for word in value.split():
                 parts = [part for part in re.split(r"[-_:]+|(?<=[a-z])(?=\d)", word) if part]
-                if any(_NOT_ARTICLE.fullmatch(part) for part in parts) and not any(
-                    _ARTICLE_NAME.fullmatch(part) for part in parts
-                ):
+                marks = {part for part in parts if _NOT_ARTICLE.fullmatch(part)}
+                if marks == {"header"} and any(_ARTICLE_NAME.fullmatch(part) for part in parts):
+                    continue
+                if marks and not any(_TURNED_ROUND.fullmatch(part) for part in parts):
                     return True
     return False
 

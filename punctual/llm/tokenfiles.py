@@ -7,8 +7,8 @@ The scan works on blocks of ``BLOCK_TOKENS`` ids. Each block is searched with on
 number of ids and the places of its end ids. What a document has in earlier blocks follows from a prefix scan over the
 blocks of its file: the running number of ids, and the place after the last end id so far.
 
-Files go through Spark's readers and writers alone, so they may lie in any store that Spark reaches. A file is read by
-one task (``write`` makes files of about ``FILE_BYTES``), its blocks are dealt out from there.
+Files go through Spark's readers and writers alone, so they may lie in any store that Spark reaches. ``write`` makes one
+file per partition of its input, and a file is read by one task; Spark's reader takes files up to 2 GB.
 
 Results in edge cases: a document without ids counts 0; ids after a file's last end id are a document of their own,
 marked ``complete = false``; an empty file has no documents; bytes after the last whole id raise an error, as do ids
@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 from .hashing import binary_texts, word_hashes
 
 BLOCK_TOKENS = 1 << 16
-FILE_BYTES = 32 << 20
 # Id 0 ends a document; its four bytes are text characters, so Spark's text writer can put it after each row.
 END_ID = 0
 

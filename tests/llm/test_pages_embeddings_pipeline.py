@@ -23,6 +23,7 @@ PAGES = {
     "<article><p>kept</p><div class='ad-banner'><div>buy</div></div><section class=comment-list>no</section><p>too</article>": "kept too",
     "<nav>never closed<article>in</article>": "in",
     "<header>site</header><main><header><h1>In</h1></header>body</main>": "In body",
+    "<div class='post-header'><h1>Own</h1></div><p>text of the post, long enough</p><div class='entry-comments'>said</div><div class='page-footer'>f</div>": "Own text of the post, long enough",
     "<p hidden>no</p><p style='display: none'>no</p><p>yes</p>": "yes",
     "<p title='a>b'>x</p><p": "x",
 }
