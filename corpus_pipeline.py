@@ -25,7 +25,7 @@ from punctual.session import stored, tune
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    return quality.judge(docs).filter("kept").select(*docs.columns)
+    return quality.passing(docs)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
