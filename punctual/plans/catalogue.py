@@ -755,6 +755,16 @@ def feature_table(spark, folder):
     return features.with_missing_filled(view, SPEC, numbers, training).withColumn("leg_day", times.day_text("leg_day"))
 
 
+FLAG_WORDS = {"origin_precipitation": ["PROMO", "LARGE"], "dest_precipitation": ["PROMO", "ECONOMY"]}
+
+
+@query
+def word_flag_features(spark, folder):
+    view = legs(spark, folder, KEY, *FLAG_WORDS)
+    flagged = features.with_word_flags(view, FLAG_WORDS)
+    return flagged.drop(*FLAG_WORDS)
+
+
 @query
 def split_sample(spark, folder):
     tagged = model.tag_split(legs(spark, folder, KEY), KEY)

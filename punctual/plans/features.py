@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -170,6 +170,20 @@ def with_missing_filled(
     return raw.withColumns({c: F.coalesce(F.col(c), one_row[c]) for c in spec.number_columns})
 
 
+def with_word_flags(df: DataFrame, words: Mapping[str, Sequence[str]]) -> DataFrame:
+    """One 0/1 column ``column_word`` per word of a list column.
+
+    An index over list *texts* has a slot for every combination that occurs; this has one per word, a number that the
+    word table fixes. NULL lists have no word.
+    """
+    flags = {
+        f"{column}_{word.replace(' ', '_')}": F.coalesce(F.array_contains(column, word).cast("double"), F.lit(0.0))
+        for column, listed in words.items()
+        for word in listed
+    }
+    return df.withColumns(flags)
+
+
 def complete_rows(legs: DataFrame, spec: FeatureSpec) -> DataFrame:
     """The stricter variant: rows with any missing input are left out instead of filled."""
     return legs.dropna(subset=[c for c in spec.inputs if c in legs.columns])

@@ -57,14 +57,19 @@ def random_forest(trees: int = 100, depth: int = 10, **params) -> RandomForestCl
 
 
 def pipeline(
-    spec: FeatureSpec, classifier: Estimator, scale_numbers: bool = False, keep_invalid: bool = True
+    spec: FeatureSpec,
+    classifier: Estimator,
+    scale_numbers: bool = False,
+    keep_invalid: bool = True,
+    word_flags: Sequence[str] | None = None,
 ) -> Pipeline:
     """Index and one-hot encode the categories, assemble with the numbers, classify.
 
     Unseen categories get an index of their own. ``scale_numbers`` standardises the numbers, which
-    trees do not need but linear models do.
+    trees do not need but linear models do. ``word_flags`` names flag columns (``features.with_word_flags``) that take
+    the place of the list texts, whose different combinations grow with the data.
     """
-    categories = spec.category_columns
+    categories = spec.category_columns if word_flags is None else list(spec.categories)
     indexes = [f"{c}_index" for c in categories]
     codes = [f"{c}_code" for c in categories]
     stages = [
@@ -72,7 +77,7 @@ def pipeline(
         OneHotEncoder(inputCols=indexes, outputCols=codes),
     ]
     invalid = "keep" if keep_invalid else "error"
-    numbers = spec.number_columns
+    numbers = [*spec.number_columns, *(word_flags or ())]
     if scale_numbers:
         stages += [
             VectorAssembler(inputCols=numbers, outputCol="numbers", handleInvalid=invalid),

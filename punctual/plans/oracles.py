@@ -579,6 +579,15 @@ ORACLES: dict[str, str] = {
         SELECT l.event_id, l.station, CASE WHEN o.obs_time >= l.leg_time - INTERVAL 7 DAY THEN o.value END AS obs_value
         FROM l ASOF LEFT JOIN o ON l.station = o.station AND l.leg_time >= o.obs_time""",
     "feature_table": _feature_table(),
+    "word_flag_features": _legs(
+        "SELECT leg_id, "
+        + ", ".join(
+            f"CASE WHEN list_contains({c}, '{w}') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS {c}_{w}"
+            for c, w in (("origin_precipitation", "PROMO"), ("origin_precipitation", "LARGE"),
+                         ("dest_precipitation", "PROMO"), ("dest_precipitation", "ECONOMY"))
+        )
+        + " FROM legs"
+    ),
     "split_sample": _legs(
         """SELECT CASE WHEN CAST('0x' || substr(md5('42:' || CAST(leg_id AS VARCHAR)), 1, 7) AS BIGINT) % 100 < 80
            THEN 'train' ELSE 'test' END AS split, count(*) AS rows FROM legs GROUP BY 1"""

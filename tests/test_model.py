@@ -157,3 +157,15 @@ def test_stored_splits(spark, parts, tmp_path):
     model.write_splits(training, "id", str(tmp_path / "s"))
     stored = spark.read.parquet(str(tmp_path / "s"))
     assert stored.count() == training.count() and "split" in stored.columns
+
+
+def test_word_flags_take_the_place_of_list_texts(legs):
+    words = {"clouds": ["few", "broken", "overcast"]}
+    flagged = features.with_word_flags(legs, words).select("id", "clouds", "clouds_few", "clouds_broken", "clouds_overcast")
+    row = flagged.filter("id = 1").first()
+    assert (row["clouds_few"], row["clouds_broken"], row["clouds_overcast"]) == (1.0, 1.0, 0.0)
+    assert flagged.filter("id = 5").first()["clouds_few"] == 0.0
+    raw = features.labelled(features.build_features(legs, SPEC, {"wind": 5.0})).join(flagged.drop("clouds"), "id")
+    names = ["clouds_few", "clouds_broken", "clouds_overcast"]
+    fitted = model.fit(SPEC, raw, model.boosted_trees(depth=2, iterations=2), word_flags=names)
+    assert model.score(fitted, raw).filter("prediction IS NULL").count() == 0
