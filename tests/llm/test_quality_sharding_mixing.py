@@ -28,6 +28,17 @@ def test_quality_keeps_columns_and_fails_null(spark):
     assert quality.judge(docs.drop("lang"), lang=None).count() == docs.count()
 
 
+def test_passing_documents_are_the_kept_ones(spark):
+    docs = awkward(spark)
+    kept = Counter(row.doc_id for row in quality.judge(docs).filter("kept").collect())
+    passed = quality.passing(docs)
+    plan = passed._jdf.queryExecution().executedPlan().toString()  # taken before it runs, so it is there once
+    assert plan.count("split(") == 2 and "Python" not in plan  # words and lines
+    assert passed.columns == docs.columns and Counter(row.doc_id for row in passed.collect()) == kept
+    assert {row.kept for row in passed.collect()} <= {"k"}  # the column of that name in the input comes through
+    assert quality.passing(empty(spark)).count() == 0
+
+
 def test_quality_is_one_projection(spark):
     plan = queries.quality_rules(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan
