@@ -38,8 +38,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     rank_path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
-    encoded = bpe.encode(docs, rank_path, pattern)
-    decoded = bpe.decode(encoded, rank_path, pattern)
+    decoded = bpe.encode_and_decode(docs, rank_path, pattern)
     n_tokens = (F.octet_length("ids") / 4).cast("long")
     size = F.octet_length("decoded").cast("long")
     return decoded.withColumns({"n_tokens": n_tokens, "decoded_bytes": size}).drop("decoded")

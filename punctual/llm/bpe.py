@@ -19,16 +19,18 @@ columns of the same name. Lone surrogates cannot occur in Spark strings.
 from __future__ import annotations
 
 import base64
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from .arrow import with_mapped
 
 # Bounds of the memos of one worker process: pieces and pairs; a full memo starts anew.
 PIECE_MEMO = 200_000
-PAIR_MEMO = 500_000
+PAIR_MEMO = 150_000
 
 
 class Tokenizer:
@@ -48,7 +50,7 @@ class Tokenizer:
         self.packed = {rank: rank.to_bytes(4, "little") for rank in self.tokens}
         self.findall = regex.compile(pattern).findall
         self.pieces: dict[str, bytes] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         # Of each token that merging can reach: the two tokens joined last (none for a single byte), its length, and
         # the longest shorter prefix that is such a token. Others are used only where they are a whole piece.
         self.halves: dict[int, tuple[int, int] | None] = {}
@@ -101,7 +103,7 @@ class Tokenizer:
     def _pair(self, first: int, second: int) -> bool:
         if len(self.pairs) >= PAIR_MEMO:
             self.pairs.clear()
-        known = self.pairs[first, second] = self._compatible(first, second)
+        known = self.pairs[first << 32 | second] = self._compatible(first, second)
         return known
 
     def _merge(self, piece: bytes) -> list[int]:
@@ -116,7 +118,7 @@ class Tokenizer:
             while True:
                 end = at + lengths[token]
                 if useful[end]:
-                    fits = last is None or pair((last, token))
+                    fits = last is None or pair(last << 32 | token)
                     if fits is None:
                         fits = self._pair(last, token)
                     if fits:
@@ -186,3 +188,20 @@ def decode(df: DataFrame, rank_path: str, pattern: str, ids: str = "ids", decode
         return lambda value: encoder.decode(value) if value else b""
 
     return with_mapped(df, ids, decoded, "binary", change)
+
+
+def encode_and_decode(
+    df: DataFrame, rank_path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str = "decoded"
+) -> DataFrame:
+    """Add ``ids`` and ``decoded`` in one pass: one worker and one tokenizer per task, where two passes take two."""
+    kept = [name for name in df.columns if name not in (ids, decoded)]
+    added = [T.StructField(name, T.BinaryType()) for name in (ids, decoded)]
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        both = tokenizer(rank_path, pattern)
+        for batch in batches:
+            packed = [both.encode(value.as_py() or "") for value in batch.column(text)]
+            made = [pa.array(packed, pa.binary()), pa.array([both.decode(value) for value in packed], pa.binary())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(name) for name in kept), *made], [*kept, ids, decoded])
+
+    return df.mapInArrow(rows, T.StructType([*(df.schema[name] for name in kept), *added]))
