@@ -46,6 +46,10 @@ def test_bpe_query_on_awkward_rows(spark, reference):
         assert np.frombuffer(row.ids, "<u4").tolist() == reference.encode_ordinary(row.text or "")
         assert bytes(row.decoded) == (row.text or "").encode()
     assert bpe.encode(empty(spark), RANK_PATH, public_tokenizers.PATTERN).count() == 0
+    once = bpe.encode_and_decode(docs, RANK_PATH, public_tokenizers.PATTERN)
+    assert once.columns == both.columns
+    assert Counter((r.doc_id, bytes(r.ids), bytes(r.decoded)) for r in once.collect()) == Counter(
+        (r.doc_id, bytes(r.ids), bytes(r.decoded)) for r in rows)
 
 
 def test_bpe_query_digests(spark, reference):
