@@ -18,8 +18,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # The JVM never compiles methods above 8000 bytes; longer generated methods would run interpreted.
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    # Rows may hold long texts: a batch for a Python worker stays at a few megabytes.
+    # Rows may hold long texts: a batch for a Python worker stays at two megabytes, or one row.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "2m",
 }
 
 # By application: the stand-in folder of a local session, and the scratch paths not yet removed.
