@@ -28,9 +28,12 @@ from pyspark.sql import types as T
 
 from .arrow import with_mapped
 
-# Bounds of the memos of one worker process: pieces and pairs; a full memo starts anew.
-PIECE_MEMO = 200_000
-PAIR_MEMO = 150_000
+# Bounds of the memos of one worker process. A full memo becomes the older one, which takes the place of the last older
+# one: what is in use moves on, and a worker holds twice as many entries at most.
+PIECE_MEMO = 65_536
+PAIR_MEMO = 131_072
+# Longer pieces are not memoised.
+PIECE_BYTES = 32
 
 
 class Tokenizer:
@@ -50,7 +53,9 @@ class Tokenizer:
         self.packed = {rank: rank.to_bytes(4, "little") for rank in self.tokens}
         self.findall = regex.compile(pattern).findall
         self.pieces: dict[str, bytes] = {}
+        self.older_pieces: dict[str, bytes] = {}
         self.pairs: dict[int, bool] = {}
+        self.older_pairs: dict[int, bool] = {}
         # Of each token that merging can reach: the two tokens joined last (none for a single byte), its length, and
         # the longest shorter prefix that is such a token. Others are used only where they are a whole piece.
         self.halves: dict[int, tuple[int, int] | None] = {}
@@ -102,8 +107,12 @@ class Tokenizer:
 
     def _pair(self, first: int, second: int) -> bool:
         if len(self.pairs) >= PAIR_MEMO:
+            self.older_pairs = self.pairs.copy()
             self.pairs.clear()
-        known = self.pairs[first << 32 | second] = self._compatible(first, second)
+        known = self.older_pairs.get(first << 32 | second)
+        if known is None:
+            known = self._compatible(first, second)
+        self.pairs[first << 32 | second] = known
         return known
 
     def _merge(self, piece: bytes) -> list[int]:
@@ -137,17 +146,21 @@ class Tokenizer:
         return out
 
     def _piece(self, piece: str) -> bytes:
-        raw = piece.encode("utf-8")
-        rank = self.ranks.get(raw)
-        if rank is not None:
-            ids = self.packed[rank]
-        else:
-            packed = self.packed
-            ids = b"".join([packed[token] for token in self._merge(raw)])
-        if len(raw) <= 64:
-            if len(self.pieces) >= PIECE_MEMO:
-                self.pieces.clear()
-            self.pieces[piece] = ids
+        ids = self.older_pieces.get(piece)
+        if ids is None:
+            raw = piece.encode("utf-8")
+            rank = self.ranks.get(raw)
+            if rank is not None:
+                ids = self.packed[rank]
+            else:
+                packed = self.packed
+                ids = b"".join([packed[token] for token in self._merge(raw)])
+            if len(raw) > PIECE_BYTES:
+                return ids
+        if len(self.pieces) >= PIECE_MEMO:
+            self.older_pieces = self.pieces.copy()
+            self.pieces.clear()
+        self.pieces[piece] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
