@@ -3,7 +3,8 @@
 In each round every node first hands its larger neighbours, then its smaller ones, to the least node it knows; the edges
 end as stars around the least node of each component. Rounds grow with the logarithm of the longest chain. A hub costs
 one aggregate that tasks build up together and a join that adaptive execution splits; edges are written to the shared
-folder after each round, so a lost executor costs at most a round.
+folder after each round, so a lost executor costs at most a round. The number of edges is known by then, and the next
+round is written in files of about ``EDGES_PER_FILE``, not in one for every partition of the shuffle.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 
 from ..session import stored
 
+EDGES_PER_FILE = 1 << 16
+
 
 def _to_least(directed: DataFrame) -> DataFrame:
     """With every edge (u, v), the least of u and all its v."""
@@ -39,7 +42,9 @@ def connected(edges: DataFrame, first: str, second: str) -> DataFrame:
         joined = small.select(F.col("v").alias("u"), F.col("least").alias("v")).union(
             small.select("u", F.col("least").alias("v"))
         )
-        following = stored(spark, joined.filter(F.col("u") != F.col("v")).distinct(), "edges")
+        # A round makes two edges at most of each one.
+        files = -(-2 * state[0] // EDGES_PER_FILE) or 1
+        following = stored(spark, joined.filter(F.col("u") != F.col("v")).distinct().coalesce(files), "edges")
         now = _state(following)
         if now == state:
             return following.select(F.col("u").alias("node"), F.col("v").alias("root"))

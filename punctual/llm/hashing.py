@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 _ODD = 0x9E3779B97F4A7C15
 _INVERSE = pow(_ODD, -1, 1 << 64)
 

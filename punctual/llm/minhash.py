@@ -51,7 +51,7 @@ REGISTERS = BANDS * ROWS
 BLOCK_ROWS = 256
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 # Texts of one task are worked on in runs of about so many words.
-RUN_WORDS = 1 << 18
+RUN_WORDS = 1 << 16
 
 
 def shingles(texts: list[bytes | None], words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
