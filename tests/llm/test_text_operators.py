@@ -217,6 +217,17 @@ def test_near_duplicates_equal_all_pairs(spark, monkeypatch, block):
     assert all(row.kept == (row.doc_id == row.class_id) for row in got.values())
 
 
+@pytest.mark.parametrize("times", [3, 60])
+def test_near_duplicates_whose_difference_is_repeated(spark, times):
+    rows = []
+    for pair in range(40):
+        common = " ".join(f"c{pair}x{at}" for at in range(204))
+        rows += [common, common + f" {' '.join(f'e{pair}x{at}' for at in range(45))}" * times]
+    pairs = list(enumerate(rows))
+    got = {row.doc_id: row.class_id for row in minhash.mark(spark.createDataFrame(pairs, "doc_id long, text string")).collect()}
+    assert [got[key] for key, _ in pairs] == classes(pairs) == [key // 2 * 2 for key, _ in pairs]
+
+
 def test_near_duplicates_on_awkward_rows(spark):
     docs = awkward(spark)
     marked = minhash.mark(docs)
