@@ -3,8 +3,10 @@
 Markup is stripped to lines, one per block. A line's length is the length of its text; text of menus, headers, footers,
 sidebars, notices, adverts, forms, hidden parts and reader comments goes with its markup and leaves lines of length 0,
 one for each of its pieces, as do lines that are mostly links outside an article. Lengths are summed over windows of ``WINDOW`` lines. A surge
-point is where the sum leaves 0, a dive point where it is back at 0; the text between them is one stretch. Stretches
-inside an article or main element are kept; on pages without one, those whose peak sum comes near the highest one.
+point is where the sum leaves 0, a dive point where it is back at 0; the text between them is one stretch. The stretches
+whose peak sum comes near the page's highest one are kept. In an article or main element (a *frame*) lines weigh
+``FRAME_WEIGHT`` times their length; a stretch ends at the frame's borders, and the stretches of a frame are judged as
+one, by the highest peak among them, so that an article is whole or out.
 
 Results in edge cases: a null, empty or textless page gives an empty text; broken or cut-off markup ends at the end of
 the page; an element to leave out that is never closed ends where an article starts; a page of any length is read whole;
@@ -21,8 +23,9 @@ from pyspark.sql import DataFrame
 from .arrow import with_mapped
 
 WINDOW = 3
-# A stretch on a page without an article is kept when its peak is at least this share of the page's highest.
+# A stretch is kept when its peak is at least this share of the page's highest.
 PEAK_SHARE = 0.25
+FRAME_WEIGHT = 4
 LINK_SHARE = 0.5
 
 _MARKUP = re.compile(
@@ -92,11 +95,13 @@ def _close_of(name: str, page: str, start: int) -> int:
     return found.start() if found else len(page)
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool]]:
-    """The page's lines: text (empty where it was left out), characters of it inside links, and if inside an article."""
-    lines: list[tuple[str, int, bool]] = []
+def lines_of(page: str) -> list[tuple[str, int, int]]:
+    """The page's lines: text (empty where it was left out), characters of it inside links, and the number of the
+    outermost article or main element that they are in (0 for none).
+    """
+    lines: list[tuple[str, int, int]] = []
     parts: list[str] = []
-    linked = links = articles = 0
+    linked = links = articles = frames = 0
     skipped, depth = "", 0  # the element that is being left out, and how many of its name are open
     at = 0
 
@@ -104,7 +109,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
-            lines.append((text, linked, articles > 0))
+            lines.append((text, linked, frames if articles else 0))
         parts.clear()
         linked = 0
 
@@ -113,7 +118,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         stop = tag.start() if tag else len(page)
         if stop > at and skipped:
             if not page[at:stop].isspace():
-                lines.append(("", 0, False))
+                lines.append(("", 0, frames if articles else 0))
         elif stop > at:
             text = html.unescape(page[at:stop])
             parts.append(text)
@@ -149,6 +154,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         if name not in _INLINE:
             end_line()
         if name in ("article", "main"):
+            frames += not closing and not articles
             articles = max(0, articles - 1) if closing else articles + 1
     end_line()
     return lines
@@ -157,24 +163,30 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
 def main_text(page: str | None) -> str:
     """The article of one page."""
     lines = lines_of(page or "")
-    framed = any(text and inside for text, _, inside in lines)
     lengths = [
-        len(text) if (inside or not framed and linked <= LINK_SHARE * len(text)) else 0 for text, linked, inside in lines
+        len(text) * (FRAME_WEIGHT if frame else 1) if frame or linked <= LINK_SHARE * len(text) else 0
+        for text, linked, frame in lines
     ]
-    stretches: list[tuple[int, list[str]]] = []
-    peak, kept, window = 0, [], 0
+    stretches: list[tuple[int, int, list[str]]] = []
+    peaks: dict[int, int] = {}
+    peak, kept, window, begin = 0, [], 0, 0
     for at, length in enumerate(lengths):
-        window += length - (lengths[at - WINDOW] if at >= WINDOW else 0)
-        if window == 0 and kept:  # dive
-            stretches.append((peak, kept))
+        frame = lines[at][2]
+        border = at > 0 and frame != lines[at - 1][2]
+        if border:
+            window, begin = 0, at
+        window += length - (lengths[at - WINDOW] if at - WINDOW >= begin else 0)
+        if kept and (border or window == 0):  # dive
+            stretches.append((lines[at - 1][2], peak, kept))
             peak, kept = 0, []
         if length:  # surge, or further on in the stretch
             kept.append(lines[at][0])
         peak = max(peak, window)
+        peaks[frame] = max(peaks.get(frame, 0), window)
     if kept:
-        stretches.append((peak, kept))
-    highest = max((peak for peak, _ in stretches), default=0)
-    chosen = [part for peak, part in stretches if framed or peak >= PEAK_SHARE * highest]
+        stretches.append((lines[-1][2], peak, kept))
+    enough = PEAK_SHARE * max(peaks.values(), default=0)
+    chosen = [part for frame, peak, part in stretches if (peaks[frame] if frame else peak) >= enough]
     return " ".join(text for part in chosen for text in part)
 
 

@@ -34,6 +34,16 @@ def test_main_text(page):
     assert htmltext.main_text(page) == PAGES[page]
 
 
+def test_window_sums_choose_on_pages_with_an_article():
+    body = " ".join(["body text outside of any article element"] * 8)
+    card = "<article><h3>Teaser</h3></article>"
+    assert htmltext.main_text(f"<div><p>{body}</p><p>{body}</p></div>{card}") == f"{body} {body}"
+    assert htmltext.main_text(f"{card}<div><p>{body}</p></div>{card}<p>{body}</p>") == f"{body} {body}"
+    # The article outweighs short text around it, and stays whole.
+    gap = "<div class=ad>" + "<p>buy</p>" * 5 + "</div>"
+    assert htmltext.main_text(f"<p>top</p><article><p>{body}</p>{gap}<p>End.</p></article><p>below</p>") == f"{body} End."
+
+
 def test_main_text_of_long_pages():
     page = "<article>" + "<p>word</p>" * 100_000 + "</article>"
     assert htmltext.main_text(page) == " ".join(["word"] * 100_000)
