@@ -9,7 +9,8 @@ whose peak sum comes near the page's highest one are kept. In an article or main
 one, by the highest peak among them, so that an article is whole or out.
 
 Results in edge cases: a null, empty or textless page gives an empty text; broken or cut-off markup ends at the end of
-the page; an element to leave out that is never closed ends where an article starts; a page of any length is read whole;
+the page; an element to leave out that is never closed ends with the element around it or where an article starts, and where
+HTML lets its end tag be omitted (``<p>``, ``<li>`` and the like), with the next one of its kind; a page of any length is read whole;
 an empty table gives an empty table; the added column replaces one of the same name.
 """
 
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 from pyspark.sql import DataFrame
 
@@ -50,16 +52,37 @@ _LEFT_OUT = set(
 )
 _LEFT_OUT_ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
 _WHOLE = {"html", "body", "main"}
+# Class and id names of these say what they are about, not what they are.
+_OWN_NAMES = {"article", "h1", "h2", "h3", "h4", "h5", "h6"}
 
-# Parts of class and id names that mark what is not the article; those that turn this round, as in
-# "has-sidebar"; and those with which a header is the article's own.
+# Elements whose end tag can be omitted, with the start tags that end them, and the elements inside that
+# keep a start tag from doing so.
+_ENDS_P = set(
+    "address article aside blockquote center details dialog dir div dl dd dt fieldset figcaption figure footer form h1 h2 "
+    "h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre search section summary table ul".split()
+)
+_ROW_GROUPS = {"tbody", "thead", "tfoot"}
+_ENDED_BY = {
+    "p": _ENDS_P, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th", "tr"} | _ROW_GROUPS,
+    "th": {"td", "th", "tr"} | _ROW_GROUPS, "tr": {"tr"} | _ROW_GROUPS, "option": {"option", "optgroup"},
+} | dict.fromkeys(_ROW_GROUPS, _ROW_GROUPS)
+_NO_BARRIER = {"address", "div", "p"}
+
+# Parts of class and id names that mark what is not the article; parts that may stand beside them;
+# and those with which a header is the article's own. A name with any other part, as "has-sidebar", "related-work" or
+# "category-social-media", marks nothing.
 _NOT_ARTICLE = re.compile(
     r"ads?|adv|adverts?|advertisements?|advertising|sponsor(?:ed|s)?|promos?|promotions?|banners?|nav|navbar|navigation|"
     r"menus?|breadcrumbs?|masthead|header|footer|sidebars?|aside|widgets?|cookies?|consent|gdpr|notices?|alerts?|popups?|"
     r"modals?|overlays?|comments?|commentlist|disqus|replies|respond|share|sharing|social|related|recommended|"
     r"recommendations|newsletter|subscribe|signup|login|search|pager|pagination|copyright|toolbar|paywall"
 )
-_TURNED_ROUND = re.compile(r"has|with|without|no|layout|open")
+_BESIDE = re.compile(
+    r"\d+|area|articles?|bars?|block|body|bottom|box|btns?|buttons?|col|column|container|content|desktop|entry|fixed|form|global|"
+    r"google|group|holder|icons?|inline|inner|item|items|js|left|links?|list|lower|main|mobile|module|outer|page|panel|"
+    r"post|posts|primary|region|right|row|secondary|section|site|slot|stories|story|sticky|sub|text|the|title|top|"
+    r"unit|upper|user|wrap|wrapper|wp|zone"
+)
 _ARTICLE_NAME = re.compile(r"article|content|post|entry|story")
 
 
@@ -78,17 +101,54 @@ def _left_out(name: str, rest: str, in_article: bool) -> bool:
             return True
         if key == "role" and value in _LEFT_OUT_ROLES:
             return True
-        if key in ("class", "id"):
+        if key in ("class", "id") and name not in _OWN_NAMES:
             for word in value.split():
                 parts = [part for part in re.split(r"[-_:]+|(?<=[a-z])(?=\d)", word) if part]
                 marks = {part for part in parts if _NOT_ARTICLE.fullmatch(part)}
                 if marks == {"header"} and any(_ARTICLE_NAME.fullmatch(part) for part in parts):
                     continue
-                if marks and not any(_TURNED_ROUND.fullmatch(part) for part in parts):
+                if marks and all(part in marks or _BESIDE.fullmatch(part) for part in parts):
                     return True
     return False
 
 
+class _LeftOut:
+    """The element that is being left out, and the elements that are open inside it."""
+
+    def __init__(self, name: str):
+        self.name = name
+        self.inner: list[str] = []
+        self.counts: Counter[str] = Counter()
+        self.barriers = 0
+
+    def _count(self, name: str, by: int) -> None:
+        self.counts[name] += by
+        self.barriers += by * (name not in _INLINE and name not in _NO_BARRIER)
+
+    def ends_at(self, name: str) -> bool:
+        """If the start tag of ``name`` ends the element."""
+        table = self.name in ("td", "th", "tr") or self.name in _ROW_GROUPS
+        return name in _ENDED_BY.get(self.name, ()) and not (self.counts["table"] if table else self.barriers)
+
+    def start(self, name: str) -> None:
+        self.inner.append(name)
+        self._count(name, 1)
+
+    def end(self, name: str, around: Counter[str]) -> tuple[bool, bool]:
+        """Takes an end tag: if the element ends there, and if the tag is an outer element's."""
+        if self.counts[name]:
+            while True:
+                last = self.inner.pop()
+                self._count(last, -1)
+                if last == name:
+                    return False, False
+        if name == self.name:
+            return True, False
+        outer = name not in _INLINE and name not in _ENDED_BY and around[name] > 0
+        outer |= self.name in ("td", "th", "tr") and (name == "tr" or name in _ROW_GROUPS) and not self.counts["table"]
+        return outer, outer
+
+
 def _close_of(name: str, page: str, start: int) -> int:
     """Where a raw text element's end tag begins; the end of the page if there is none."""
     found = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(page, start)
@@ -102,7 +162,8 @@ def lines_of(page: str) -> list[tuple[str, int, int]]:
     lines: list[tuple[str, int, int]] = []
     parts: list[str] = []
     linked = links = articles = frames = 0
-    skipped, depth = "", 0  # the element that is being left out, and how many of its name are open
+    skipped: _LeftOut | None = None
+    around: Counter[str] = Counter()  # elements that are open outside of it
     at = 0
 
     def end_line() -> None:
@@ -134,21 +195,29 @@ def lines_of(page: str) -> list[tuple[str, int, int]]:
         if not closing and name in _RAW:
             at = _close_of(name, page, at)
             continue
+        open_ended = name not in _VOID and not rest.rstrip().endswith("/")
         if skipped:
-            if name in ("article", "main") and not closing and name != skipped and not _left_out(name, rest, False):
-                skipped = ""
+            if closing:
+                done, again = skipped.end(name, around)
             else:
-                if name == skipped:
-                    depth += -1 if closing else not rest.rstrip().endswith("/")
-                    if depth == 0:
-                        skipped = ""
+                framed = name in ("article", "main") and name != skipped.name and not _left_out(name, rest, False)
+                done = again = framed or skipped.ends_at(name)
+                if not done and open_ended:
+                    skipped.start(name)
+            if done:
+                skipped = None
+            if not again:
                 continue
         if not closing and name not in _VOID and _left_out(name, rest, articles > 0):
-            if not rest.rstrip().endswith("/"):
+            if open_ended:
                 if name not in _INLINE:
                     end_line()
-                skipped, depth = name, 1
+                skipped = _LeftOut(name)
             continue
+        if closing:
+            around[name] -= around[name] > 0
+        elif open_ended:
+            around[name] += 1
         if name == "a":
             links = 0 if closing else 1
         if name not in _INLINE:

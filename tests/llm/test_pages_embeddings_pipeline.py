@@ -44,6 +44,25 @@ def test_window_sums_choose_on_pages_with_an_article():
     assert htmltext.main_text(f"<p>top</p><article><p>{body}</p>{gap}<p>End.</p></article><p>below</p>") == f"{body} End."
 
 
+NAMED = {
+    "<article class='post category-social-media'><p>in</p></article>": "in",
+    "<article class='post tag-advertising'><p>in</p></article>": "in",
+    "<article><h2 id='related-work'>Related</h2><p>a</p><h2 id='search'>Search</h2><section id='related-work'>b</section></article>": "Related a Search b",
+    "<article><p>a</p><div class='related-posts-2'>no</div><ul class='social-links top'><li>no</ul><p>b</p></article>": "a b",
+    "<article><p class='ad'>buy <b>now<p>a<p>b</article>": "a b",
+    "<article><p>a</p><p class='ad'>buy</article><article><p>b</article>": "a b",
+    "<article><ul><li>a<li class='share'>no<ul><li>no<li>no</ul>no<li>b</ul><p>c</article>": "a b c",
+    "<article><ul><li class='share'>no<p>no<p>no</ul><p>a</article>": "a",
+    "<article><table><tr><td class='ad'>no<table><tr><td>no</table><td>a<tr><td class='ad'>no<tr><td>b</table>c</article>": "a b c",
+    "<article><dl><dt>a<dd class='ad'>no<dt>b</dl><div class='ad'>no<div>no</article><article>c</article>": "a b c",
+}
+
+
+@pytest.mark.parametrize("page", NAMED)
+def test_names_and_left_out_end_tags(page):
+    assert htmltext.main_text(page) == NAMED[page]
+
+
 def test_main_text_of_long_pages():
     page = "<article>" + "<p>word</p>" * 100_000 + "</article>"
     assert htmltext.main_text(page) == " ".join(["word"] * 100_000)
