@@ -61,7 +61,7 @@ def write(packed: DataFrame, ids: str, path: str) -> None:
     whole.select(F.col(ids).cast("string").alias("value")).write.option("lineSep", end).text(path)
 
 
-def _blocks(spark: SparkSession, path: str, block_tokens: int) -> DataFrame:
+def _blocks(spark: SparkSession, path: str, block_tokens: int, names: str | None) -> DataFrame:
     """One row per block: file, block number, ids in it, and the places of its end ids."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,16 +79,20 @@ def _blocks(spark: SparkSession, path: str, block_tokens: int) -> DataFrame:
                         ["file", "block", "n", "ends"],
                     )
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    reader = spark.read.format("binaryFile")
+    files = (reader if names is None else reader.option("pathGlobFilter", names)).load(path)
     named = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
     return named.mapInArrow(rows, "file string, block long, n long, ends array<int>")
 
 
-def scan(spark: SparkSession, path: str, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+def scan(spark: SparkSession, path: str, block_tokens: int = BLOCK_TOKENS, names: str | None = None) -> DataFrame:
     """One row per document: ``file``, ``document`` (its number in the file), ``start`` (place of its first id),
     ``n_tokens`` (without the end id) and ``complete``.
+
+    ``names`` is a pattern for the names of the files to read, as ``*.bin``; without it all are read but hidden ones (names
+    that begin with ``_`` or ``.``).
     """
-    blocks = _blocks(spark, path, block_tokens)
+    blocks = _blocks(spark, path, block_tokens, names)
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     later = Window.partitionBy("file").orderBy("block").rowsBetween(1, 1)
     before = F.coalesce(F.sum("n").over(earlier), F.lit(0))

@@ -179,6 +179,13 @@ def test_scan_of_cut_off_and_empty_files(spark, tmp_path):
         tokenfiles.write(bad, "ids", str(tmp_path / "out"))
 
 
+def test_scan_reads_files_of_any_name(spark, tmp_path):
+    for name in ("train_000.bin", "part-a", "_SUCCESS", ".part-a.crc"):
+        (tmp_path / name).write_bytes(np.array([5, 6, 0], "<u4").tobytes())
+    assert sorted(row.file for row in tokenfiles.scan(spark, str(tmp_path)).collect()) == ["part-a", "train_000.bin"]
+    assert [row.file for row in tokenfiles.scan(spark, str(tmp_path), names="*.bin").collect()] == ["train_000.bin"]
+
+
 def test_scan_query_counts_all_documents(spark):
     want = sorted(len(words(row.text)) for row in spark.read.parquet(f"{SMALL}/documents.parquet").collect())
     assert sorted(row.n_tokens for row in queries.separator_scan(spark, SMALL).collect()) == want
