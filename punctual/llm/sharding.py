@@ -1,7 +1,7 @@
 """Sharding by proportional stratified interleaving, with built-in expressions only.
 
 The rows of each source are put in a seeded random order. Row ``r`` of a source with ``n`` rows stands at the fraction
-``(2r - 1) / 2n``; all rows sorted by that fraction are a sequence in which every stretch holds the sources in the
+``(r - 1 + v) / n``, where ``v`` in [0, 1) is a seeded hash of the source, so that small sources are spread too; all rows sorted by that fraction are a sequence in which every stretch holds the sources in the
 proportion of the whole table. Cutting the sequence into equal runs gives shards whose row counts differ by one at
 most, and in which a source's share differs from its share of the table by a row or two.
 
@@ -28,8 +28,9 @@ def assign_shards(df: DataFrame, source: str, keys: list[str], shards: int, seed
     hashed = F.xxhash64(F.lit(seed), *(F.col(key) for key in keys))
     seeded = df.drop("shard", "slot").withColumns({"_shard_hash": hashed, "_shard_at": unit_interval(hashed)})
     within = ranked_in_groups(seeded, [source], "_shard_at", ["_shard_hash", *keys], "_shard_rank", "_shard_rows")
-    # One more rank, over the whole table: the fractions are spread as evenly as the hash was.
-    fraction = (2 * F.col("_shard_rank") - 1).cast("double") / (2 * F.col("_shard_rows")).cast("double")
+    # One more rank, over the whole table: the fractions are spread evenly, those of sources with few rows by the offset.
+    offset = unit_interval(F.xxhash64(F.lit(seed), F.lit("offset"), F.col(source)))
+    fraction = ((F.col("_shard_rank") - 1).cast("double") + offset) / F.col("_shard_rows").cast("double")
     order = ["_shard_hash", source, *keys]
     ordered = ranked_in_groups(
         within.withColumn("_shard_fraction", fraction), [], "_shard_fraction", order, "_shard_place", "_shard_total"

@@ -69,6 +69,20 @@ def test_ranks_are_gapless_in_groups(spark, monkeypatch, per_range):
     assert [row.r for row in whole] == list(range(1, 501))
 
 
+def test_sources_of_one_row_are_spread(spark, monkeypatch):
+    positions, ranked = [], sharding.ranked_in_groups
+
+    def seen(df, group, position, *rest):
+        positions.append(df.select(position))
+        return ranked(df, group, position, *rest)
+
+    monkeypatch.setattr(sharding, "ranked_in_groups", seen)
+    df = spark.range(300).select("id", F.col("id").alias("source"))
+    assert sharding.assign_shards(df, "source", ["id"], 10).count() == 300
+    tenths = Counter(int(row[0] * 10) for row in positions[1].collect())
+    assert len(tenths) == 10 and max(tenths.values()) < 60
+
+
 def test_shards_are_even_gapless_and_match_the_mixture(spark):
     df = spark.range(1003).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 5)).alias("source"))
     rows = sharding.assign_shards(df, "source", ["id"], 10).collect()
