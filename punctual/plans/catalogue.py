@@ -702,17 +702,35 @@ def archived_raw(spark, folder):
     )
 
 
+def rows_before_earlier(placed, run_rows=1_000_000):
+    """Of rows with ``ts``, ``file`` and ``place`` (from 0 within the file), how many come right after a later ``ts``.
+
+    Rows are compared inside runs of ``run_rows`` places, and the last row of each run with the first one of the next.
+    """
+    runs = placed.withColumn("run", F.floor(F.col("place") / run_rows))
+    previous = F.lag("ts").over(Window.partitionBy("file", "run").orderBy("place"))
+    per_run = runs.withColumn("wrong", (F.col("ts") < previous).cast("int")).groupBy("file", "run").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum("wrong"), F.lit(0)).alias("wrong"),
+        F.min_by("ts", "place").alias("first"),
+        F.max_by("ts", "place").alias("last"),
+    )
+    last = F.lag("last").over(Window.partitionBy("file").orderBy("run"))
+    at_border = F.coalesce((F.col("first") < last).cast("int"), F.lit(0))
+    return per_run.withColumn("wrong", F.col("wrong") + at_border).agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.coalesce(F.sum("wrong"), F.lit(0)).alias("wrong")
+    )
+
+
 @query
 def time_sorted_rows(spark, folder):
     """Rows written in time order, then, per file, how many rows stand before an earlier one."""
     path = scratch_path(spark, "time-sorted")
     files.write_sorted_by_time(table(spark, folder, "events"), path, "ts")
     placed = files.read_parquet(spark, path, ["ts"]).select(
-        "ts", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("place")
+        "ts", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place")
     )
-    previous = F.lag("ts").over(Window.partitionBy("file", F.floor(F.col("place") / 1_000_000)).orderBy("place"))
-    marked = placed.withColumn("wrong", (F.col("ts") < previous).cast("int"))
-    return marked.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("wrong"), F.lit(0)).alias("wrong"))
+    return rows_before_earlier(placed)
 
 
 @query

@@ -3,6 +3,7 @@
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
+from punctual.plans import catalogue
 from punctual.sources.tables import LEG_COLUMNS, legs
 
 FOLDER = "/root/testdata/sf0.001"
@@ -24,6 +25,14 @@ def test_no_cross_join_and_no_python_rows(spark, name):
     assert "unboundedfollowing" not in text.lower().replace(" ", "") or name not in ASOF
 
 
+def test_rows_out_of_order_at_a_border_of_runs_count(spark):
+    times = [1, 2, 1, 5, 4, 4, None, 3]
+    rows = [(ts, name, at) for name in ("a", "b") for at, ts in enumerate(times)]
+    placed = spark.createDataFrame(rows, "ts int, file string, place long")
+    for run_rows in (1, 2, 3, 100):
+        assert tuple(catalogue.rows_before_earlier(placed, run_rows).first()) == (16, 4)
+
+
 def test_leg_view_reads_and_joins_only_what_is_asked(spark):
     text = plan(legs(spark, FOLDER, "month", "arr_delay"))
     assert "ReadSchema: struct<l_quantity:double,l_shipdate:timestamp_ntz>" in text
