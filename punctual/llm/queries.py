@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from ..session import scratch_path
-from . import bpe, embeddings, hmm, htmltext, minhash, mixing, quality, sharding, tokenfiles, urlfilter
+from . import bpe, conversation, embeddings, hmm, htmltext, minhash, mixing, quality, sharding, tokenfiles, toxicity, urlfilter, whitening
 from .oracles import ORACLES
 from .words import word_count
 
@@ -142,6 +142,28 @@ def byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def weighted_lexicon(spark: SparkSession, folder: str) -> DataFrame:
+    """Learns from the labels of two thirds of the ids and scores all documents."""
+    held_out = F.coalesce(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 3 == 1, F.lit(False))
+    docs = _read(spark, folder, "documents").select("doc_id", "text")
+    labels = _read(spark, folder, "labels").filter(~held_out).select("doc_id", "toxic")
+    scored = toxicity.score(docs, toxicity.learn(docs, labels, "doc_id"))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def incremental_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(_read(spark, folder, "embeddings"), "vec_id", "embedding", components=8)
+
+
+def survivor_viterbi(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations with the faults that the ids and turns give, repaired."""
+    rows = _read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    known = [F.coalesce(F.col(name).cast("string"), F.lit(" ")) for name in ("conv_id", "turn")]
+    fate = F.crc32(F.encode(F.concat(known[0], F.lit(":"), known[1]), "UTF-8")) % 20
+    faulty = conversation.damaged(rows, "conv_id", "turn", "role", "text", fate)
+    return conversation.digests(conversation.edits(faulty, keys=rows.select("conv_id")))
+
+
 QUERIES = {
     "op1_hidden_markov_scores": hidden_markov_scores,
     "op2_stratified_shards": stratified_shards,
@@ -153,6 +175,9 @@ QUERIES = {
     "op8_subset_sum_mixture": subset_sum_mixture,
     "op9_collision_counting": collision_counting,
     "op10_byte_level_bpe": byte_level_bpe,
+    "op11_weighted_lexicon": weighted_lexicon,
+    "op12_incremental_whitening": incremental_whitening,
+    "op13_survivor_viterbi": survivor_viterbi,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
