@@ -132,9 +132,8 @@ def collision_counting(spark: SparkSession, folder: str) -> DataFrame:
 
 def byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
     rank_path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
-    encoded = bpe.encode(_read(spark, folder, "documents").select("doc_id", "text"), rank_path, pattern)
-    both = bpe.decode(encoded.select("doc_id", "ids"), rank_path, pattern)
-    return both.select(
+    docs = _read(spark, folder, "documents").select("doc_id", "text")
+    return bpe.encode_and_decode(docs, rank_path, pattern).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
