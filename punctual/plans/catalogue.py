@@ -18,7 +18,7 @@ from ..operators import asof, joins, profile, shaping, timeframes
 from ..session import scratch_path
 from ..sources import files, observations, schemas
 from ..sources.tables import LEG_COLUMNS, asof_sides, legs, raw_observation_lines, table
-from ..streaming import enrichment, envelopes, rolling, scoring, sinks
+from ..streaming import enrichment, envelopes, live, rolling, scoring, sinks
 from . import delays, enrich, features, lookup, model, weather
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -604,6 +604,34 @@ def stream_enrich(spark, folder):
     return spark.read.parquet(out).select("event_id", "station", "obs_value")
 
 
+LIVE_LATENESS = "2 days"
+
+
+@query
+def stream_live_enrich(spark, folder):
+    """Legs and observations as two streams; observations of a day come a batch after its legs at each week's end.
+
+    Legs are given out once the watermark of both streams has passed them, two days behind the slower one.
+    """
+    events = table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    sides = {"purchase": (scratch_path(spark, "live-legs"), 1), "view": (scratch_path(spark, "live-observations"), 0)}
+    for kind, (path, lag) in sides.items():
+        week = F.least(F.floor((F.dayofmonth("ts") - lag) / 8), F.lit(3))
+        for number in range(4):
+            part = events.filter((F.col("event_type") == kind) & (week == number))
+            part.repartition(FILES_PER_BATCH, "event_id").write.mode("append").parquet(path)
+    legs_in, seen_in = (sinks.file_stream(spark, path, events.schema, files_per_batch=FILES_PER_BATCH) for path, _ in sides.values())
+    joined = live.join_live(
+        legs_in.select("event_id", F.col("user_id").alias("station"), F.col("ts").alias("leg_time")),
+        seen_in.select(F.col("user_id").alias("station"), F.col("ts").alias("obs_time"), "value"),
+        "station", "leg_time", "obs_time", {"value": "obs_value"}, LIVE_LATENESS, MAX_AGE_SECONDS, "obs_time",
+    )
+    out = scratch_path(spark, "live")
+    _finish(live.start(joined, out, scratch_path(spark, "live-state")))
+    given = spark.read.schema(joined.schema).parquet(out)
+    return given.select("event_id", "station", F.date_format("obs_time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("obs_time"), "obs_value")
+
+
 LATE_EVERY = 50
 
 

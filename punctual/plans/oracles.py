@@ -578,6 +578,13 @@ ORACLES: dict[str, str] = {
     "stream_enrich": f"""{SIDES}
         SELECT l.event_id, l.station, CASE WHEN o.obs_time >= l.leg_time - INTERVAL 7 DAY THEN o.value END AS obs_value
         FROM l ASOF LEFT JOIN o ON l.station = o.station AND l.leg_time >= o.obs_time""",
+    "stream_live_enrich": f"""{SIDES}, w AS (
+          SELECT least((SELECT max(leg_time) FROM l), (SELECT max(obs_time) FROM o)) - INTERVAL 2 DAY AS mark)
+        SELECT l.event_id, l.station,
+          CASE WHEN o.obs_time >= l.leg_time - INTERVAL 7 DAY THEN strftime(o.obs_time, {MICROS}) END AS obs_time,
+          CASE WHEN o.obs_time >= l.leg_time - INTERVAL 7 DAY THEN o.value END AS obs_value
+        FROM l ASOF LEFT JOIN o ON l.station = o.station AND l.leg_time >= o.obs_time
+        WHERE l.leg_time <= (SELECT mark FROM w)""",
     "feature_table": _feature_table(),
     "word_flag_features": _legs(
         "SELECT leg_id, "
