@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import text, times
 from ..functions import observations as decode
 from ..functions.registry import register_sql_functions
-from ..operators import asof, joins, profile, shaping, timeframes
+from ..operators import asof, intervals, joins, profile, shaping, timeframes
 from ..session import scratch_path
 from ..sources import files, observations, schemas
 from ..sources.tables import LEG_COLUMNS, asof_sides, legs, raw_observation_lines, table
@@ -323,6 +323,41 @@ def _zone(nation_key):
     return F.format_string("-%02d:00", (F.col(nation_key) % 4 + 5).cast("int"))
 
 
+@query
+def legs_in_timeframes(spark, folder):
+    """How many departures from a station the responses of each archive request cover; responses overlap.
+
+    A response reaches from a day before the first departure of its timeframe to a day after the last. Every nation
+    also has one response over fifty years.
+    """
+    view = legs(spark, folder, "origin_city", "dest_city", "dep_time", "arr_delay")
+    frames = timeframes.station_timeframes(view, {"Origin": "origin_city", "Destination": "dest_city"}, "dep_time")
+    responses = frames.select(
+        "station",
+        "role",
+        times.second_text("window.start").alias("window_start"),
+        times.shift_days("start_date", -1).alias("first"),
+        times.shift_days("end_date", 1).alias("last"),
+    )
+    forever = table(spark, folder, "nation").select(
+        F.col("n_name").alias("station"),
+        F.lit("all").alias("role"),
+        F.lit("").alias("window_start"),
+        F.expr("TIMESTAMP_NTZ'1960-01-01 00:00:00'").alias("first"),
+        F.expr("TIMESTAMP_NTZ'2010-01-01 00:00:00'").alias("last"),
+    )
+    covered = intervals.join_containing(
+        view.select("origin_city", "dep_time", "arr_delay"), responses.unionByName(forever), {"origin_city": "station"},
+        "dep_time", "first", "last", {"role": "role", "window_start": "window_start"},
+    )
+    return covered.groupBy(F.col("origin_city").alias("station"), "role", "window_start").agg(
+        F.count(F.lit(1)).alias("num_legs"),
+        F.sum("arr_delay").alias("arr_delay_total"),
+        times.second_text(F.min("dep_time")).alias("first_departure"),
+        times.second_text(F.max("dep_time")).alias("last_departure"),
+    )
+
+
 # The columns of a published leg that the test tables can fill; the others are empty in the file.
 CSV_LEG = {
     "OriginAirportSeqID": "l_orderkey",

@@ -505,6 +505,15 @@ ORACLES: dict[str, str] = {
                  station, year(s), month(s), day(s), year(e), month(e), day(e)) AS query
         FROM r"""
     ),
+    "legs_in_timeframes": _legs(
+        f""", {FRAMES}, responses AS (
+          SELECT station, role, strftime(window_start, {SECONDS}) AS window_start, start_date - INTERVAL 1 DAY AS s,
+                 end_date + INTERVAL 1 DAY AS e FROM frames
+          UNION ALL SELECT n_name, 'all', '', TIMESTAMP '1960-01-01', TIMESTAMP '2010-01-01' FROM nation)
+        SELECT r.station, role, window_start, count(*) AS num_legs, sum(arr_delay) AS arr_delay_total,
+          strftime(min(dep_time), {SECONDS}) AS first_departure, strftime(max(dep_time), {SECONDS}) AS last_departure
+        FROM legs JOIN responses r ON origin_city = r.station AND dep_time >= s AND dep_time <= e GROUP BY 1, 2, 3"""
+    ),
     "sched_timestamps": f"""
         WITH t AS (SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS d,
                           CAST(l_partkey % 26 * 100 + l_suppkey % 70 AS INTEGER) AS hhmm FROM lineitem),
