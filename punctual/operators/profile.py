@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.dimensions import literal_table
+from . import quantiles
 
 
 def _long_form(wide: DataFrame, cells: Sequence[tuple[Sequence[Column], Column]], names: Sequence[str]) -> DataFrame:
@@ -18,90 +19,9 @@ def _long_form(wide: DataFrame, cells: Sequence[tuple[Sequence[Column], Column]]
     return wide.select(F.inline(F.array(*rows)))
 
 
-def value_counts(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
-    """Rows per distinct non-null value and group. Counted before the shuffle in every task."""
-    return df.filter(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
-
-
-# So many parts per doubling of a value: the parts of a group are in the order of their values.
-PARTS_PER_DOUBLING = 256
-
-
-def _part(value: Column) -> Column:
-    """An integer that grows with the value and is shared by values within a part in 256 of each other."""
-    size = F.abs(value)
-    octave = F.floor(F.log2(size))
-    inside = F.floor((size / F.pow(F.lit(2.0), octave) - 1) * PARTS_PER_DOUBLING)
-    # Doubles reach down to 2 to the -1074, so what is added here keeps all parts above 0.
-    return F.when(value == 0, F.lit(0)).otherwise(
-        (F.signum(value) * ((octave + 1100) * PARTS_PER_DOUBLING + inside)).cast("long")
-    )
-
-
-def _summarise(
-    counts: DataFrame,
-    groups: Sequence[str],
-    value: str,
-    quantiles: Mapping[str, float],
-    extra: Mapping[str, Column] | None = None,
-) -> DataFrame:
-    """Linearly interpolated quantiles, and ``extra`` aggregates, from value counts.
-
-    A group is cut into ranges of its values (``_part``). One row per range gives the rank at which the range starts;
-    only the values of a range are sorted together. So no task holds the values of a group, however many there are.
-    """
-    groups = list(groups)
-    valued = counts.select(*groups, F.col(value).cast("double").alias("_v"), "_n").withColumn("_part", _part(F.col("_v")))
-    whole = Window.partitionBy(*groups)
-    before = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = (
-        valued.groupBy(*groups, "_part")
-        .agg(F.sum("_n").alias("_rows"), F.sum(F.col("_v") * F.col("_n")).alias("_sum"))
-        .select(
-            *[F.col(name).alias(f"_g{at}") for at, name in enumerate(groups)],
-            F.col("_part").alias("_range"),
-            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"),
-            F.sum("_rows").over(whole).alias("_total"),
-            (F.sum("_sum").over(whole) / F.sum("_rows").over(whole)).alias("_mean"),
-        )
-    )
-    same = F.col("_part") == F.col("_range")
-    for at, name in enumerate(groups):
-        same = same & F.col(name).eqNullSafe(F.col(f"_g{at}"))
-    by_value = Window.partitionBy(*groups, "_part").orderBy("_v")
-    ranked = valued.join(ranges, same).withColumn("_upto", F.col("_start") + F.sum("_n").over(by_value))
-    first = F.col("_upto") - F.col("_n")
-    results = [column.alias(name) for name, column in (extra or {}).items()]
-    for name, quantile in quantiles.items():
-        position = (F.col("_total") - 1) * F.lit(float(quantile))
-        low, high = F.floor(position), F.ceil(position)
-        low_value = F.max(F.when((first <= low) & (low < F.col("_upto")), F.col("_v")))
-        high_value = F.max(F.when((first <= high) & (high < F.col("_upto")), F.col("_v")))
-        results.append((low_value + (high_value - low_value) * F.max(position - low)).alias(name))
-    return ranked.groupBy(*groups).agg(*results)
-
-
-def exact_quantiles(
-    df: DataFrame, groups: Sequence[str], value: str, quantiles: Mapping[str, float]
-) -> DataFrame:
-    """Exact quantiles per group; ``quantiles`` maps result names to fractions."""
-    return _summarise(value_counts(df, groups, value), groups, value, quantiles)
-
-
 def describe_groups(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
-    """count, mean, std, min, 25 %, 50 %, 75 %, max per group, in one pass over the table."""
-    spread = F.sum(F.col("_n") * (F.col("_v") - F.col("_mean")) * (F.col("_v") - F.col("_mean")))
-    total = F.max("_total")
-    extra = {
-        "count": total,
-        "mean": F.max("_mean"),
-        "std": F.sqrt(F.try_divide(spread, total - 1)),
-        "min": F.min("_v"),
-        "max": F.max("_v"),
-    }
-    quantiles = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-    summary = _summarise(value_counts(df, groups, value), groups, value, quantiles, extra)
-    return summary.select(*groups, "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    """count, mean, std, min, 25 %, 50 %, 75 %, max per group (``quantiles.summarise`` says how)."""
+    return quantiles.summarise(df, groups, value, {"p25": 0.25, "p50": 0.5, "p75": 0.75}, moments=True)
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int | None = None) -> DataFrame:
@@ -148,21 +68,17 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 def column_medians(df: DataFrame, columns: Sequence[str], accuracy: int | None = None) -> DataFrame:
     """``(column, median)``; 0 for a column without values.
 
-    The default is exact and works on value counts. ``accuracy`` switches to a bounded-size sketch for
+    The default is exact (``quantiles``). ``accuracy`` switches to a bounded-size sketch for
     measures with practically unlimited distinct values.
     """
     if accuracy is not None:
         wide = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(c) for c in columns])
         cells = [([F.lit(c)], F.coalesce(F.col(c), F.lit(0.0))) for c in columns]
         return _long_form(wide, cells, ["column", "median"])
-    # NULL values are counted too, so that a column without any value keeps its row.
-    values = F.array(*[F.col(c).cast("double") for c in columns])
-    counts = df.select(F.posexplode(values).alias("_at", "value")).groupBy("_at", "value").agg(F.count(F.lit(1)).alias("_n"))
-    medians = _summarise(counts.filter("value IS NOT NULL"), ["_at"], "value", {"median": 0.5})
-    positions = counts.select("_at").distinct()
-    name = F.element_at(F.array(*map(F.lit, columns)), F.col("_at") + 1)
-    found = positions.join(medians, "_at", "left")
-    return found.select(name.alias("column"), F.coalesce("median", F.lit(0.0)).alias("median"))
+    names = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("_value")) for c in columns])
+    medians = quantiles.summarise(df.select(F.inline(names)), ["column"], "_value", {"median": 0.5})
+    wanted = literal_table(df.sparkSession, [(c,) for c in columns], "column STRING")
+    return wanted.join(medians, "column", "left").select("column", F.coalesce("median", F.lit(0.0)).alias("median"))
 
 
 def profile_table(df: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import text, times
 from ..functions import observations as decode
 from ..functions.registry import register_sql_functions
-from ..operators import asof, intervals, joins, profile, shaping, timeframes
+from ..operators import asof, intervals, joins, profile, quantiles, shaping, timeframes
 from ..session import scratch_path
 from ..sources import files, observations, schemas
 from ..sources.tables import LEG_COLUMNS, asof_sides, legs, raw_observation_lines, table
@@ -292,6 +292,37 @@ def table_profile(spark, folder):
     return profile.profile_table(legs(spark, folder, *LEG_COLUMNS))
 
 
+QUARTILES = {"p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9}
+RANK_BOUND = 0.02
+
+
+@query
+def exact_route_quantiles(spark, folder):
+    """Quartiles of a measure with as many values as rows, per destination and of all legs."""
+    view = legs(spark, folder, "dest_city", "leg_id").withColumn("share", F.col("leg_id") / 1000003.0)
+    parts = {"each": quantiles.summarise(view, ["dest_city"], "share", QUARTILES), "all": quantiles.summarise(view, [], "share", QUARTILES)}
+    return parts["each"].unionByName(parts["all"].withColumn("dest_city", F.lit("all"))).select(
+        "dest_city", *[F.round(name, 6).alias(name) for name in QUARTILES]
+    )
+
+
+@query
+def sketch_rank_error(spark, folder):
+    """Quantiles per carrier from stored sketches per month: whether their rank is within the bound of the exact one.
+
+    The early months are stored twice, the first time without most of their legs, as a corrected load would.
+    """
+    view = legs(spark, folder, "carrier", "leg_date", "leg_id").select(
+        "carrier", F.trunc("leg_date", "month").alias("month"), F.sqrt(F.col("leg_id") % 999_983 + 0.5).alias("share"), "leg_id"
+    )
+    path, early = scratch_path(spark, "sketches"), F.col("month") < "1994-01-01"
+    for part in (view.filter(early & (F.col("leg_id") % 5 == 0)), view.filter(~early), view.filter(early)):
+        quantiles.store_days(quantiles.daily_sketches(part, "month", ["carrier"], "share"), "month", path)
+    found = quantiles.merged_quantiles(quantiles.read_days(spark, path), ["carrier"], QUARTILES)
+    errors = quantiles.rank_errors(view, ["carrier"], "share", found, QUARTILES)
+    return errors.select("carrier", "quantile", "rows", (F.col("error") <= RANK_BOUND).alias("within_bound"))
+
+
 # ---------------------------------------------------------------- stations, observations, roles
 
 

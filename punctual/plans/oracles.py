@@ -490,6 +490,17 @@ ORACLES: dict[str, str] = {
             for c, kind in PROFILED.items()
         )
     ),
+    "exact_route_quantiles": _legs(
+        """, v AS (SELECT dest_city, leg_id / 1000003.0::DOUBLE AS share FROM legs), q AS (
+          SELECT dest_city, share FROM v UNION ALL SELECT 'all', share FROM v)
+        SELECT dest_city, """
+        + ", ".join(f"{rnd(f'quantile_cont(share, 0.{n})', 6)} AS p{n}" for n in ("10", "25", "50", "75", "90"))
+        + " FROM q GROUP BY 1"
+    ),
+    "sketch_rank_error": _legs(
+        """SELECT carrier, quantile, count(*) AS rows, TRUE AS within_bound
+        FROM legs, (VALUES ('p10'), ('p25'), ('p50'), ('p75'), ('p90')) AS q(quantile) GROUP BY 1, 2"""
+    ),
     "station_timeframes": _legs(
         f""", {FRAMES} SELECT station, role, strftime(window_start, {SECONDS}) AS window_start,
         strftime(window_end, {SECONDS}) AS window_end, strftime(start_date, {SECONDS}) AS start_date,

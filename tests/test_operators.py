@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from punctual.operators import joins, lists, profile, ranking, rolling, shaping, timeframes
+from punctual.operators import joins, lists, profile, quantiles, ranking, rolling, shaping, timeframes
 from punctual.sources import dimensions
 
 
@@ -75,7 +75,7 @@ def test_describe_and_quantiles_like_pandas(spark):
                 assert got[key][ours] is None
             else:
                 assert got[key][ours] == pytest.approx(row[theirs])
-    single = profile.exact_quantiles(df, [], "v", {"p90": 0.9}).first()["p90"]
+    single = quantiles.summarise(df, [], "v", {"p90": 0.9}).first()["p90"]
     assert single == pytest.approx(pd.Series([v for _, v in data]).quantile(0.9))
 
 
