@@ -6,6 +6,7 @@ engines without type conversions in between.
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -15,11 +16,11 @@ from ..functions import text, times
 from ..functions import observations as decode
 from ..functions.registry import register_sql_functions
 from ..operators import asof, intervals, joins, profile, quantiles, shaping, timeframes
-from ..session import scratch_path
+from ..session import scratch_path, stored
 from ..sources import files, observations, schemas
 from ..sources.tables import LEG_COLUMNS, asof_sides, legs, raw_observation_lines, table
 from ..streaming import enrichment, envelopes, live, rolling, scoring, sinks
-from . import delays, enrich, features, lookup, model, weather
+from . import delays, enrich, evaluation, features, lookup, model, weather
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -432,8 +433,8 @@ def enrich_legs(spark, folder):
         F.format_string("K%03d", "n_nationkey").alias("ICAO"),
         _zone("n_nationkey").alias("Timezone"),
     )
-    stored = enrich.run(spark, legs_path, raw_path, seen, out, airports, dest_at_arrival=True)
-    return stored.select(
+    enriched = enrich.run(spark, legs_path, raw_path, seen, out, airports, dest_at_arrival=True)
+    return enriched.select(
         F.col("OriginAirportSeqID").alias("order_key"),
         F.col("Flight_Number_Operating_Airline").alias("line"),
         F.col("OriginICAO").alias("origin"),
@@ -610,8 +611,8 @@ def stream_flatten(spark, folder):
     stream = spark.readStream.option("maxFilesPerTrigger", FILES_PER_BATCH).text(lines)
     rows = envelopes.read_envelopes(stream, events.schema)
     _finish(sinks.append_parquet(rows, out, scratch_path(spark, "flattened-state")))
-    stored = spark.read.schema(events.schema).parquet(out)
-    return stored.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    flat = spark.read.schema(events.schema).parquet(out)
+    return flat.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
 @query
@@ -790,8 +791,8 @@ def archived_raw(spark, folder):
     lines = raw_observation_lines(spark, folder)
     for day, part in (("2024-02-01", lines.filter("event_id % 2 = 0")), ("2024-02-02", lines.filter("event_id % 2 = 1"))):
         observations.archive_raw(part, path, day)
-    stored = spark.read.parquet(path)
-    return stored.groupBy(times.day_text("load_date").alias("load_day")).agg(
+    archive = spark.read.parquet(path)
+    return archive.groupBy(times.day_text("load_date").alias("load_day")).agg(
         F.count(F.lit(1)).alias("lines"), F.min("event_id").alias("first_event"), F.max("event_id").alias("last_event")
     )
 
@@ -957,6 +958,53 @@ def rule_score_ids(spark, folder):
     return model.score_ids(None, _rule_features(spark, folder), ids, KEY, _rule)
 
 
+@query
+def rule_permutation_importance(spark, folder):
+    """Accuracy of the noon rule with one column permuted; it looks at the minute alone."""
+    view = _rule_features(spark, folder).drop("leg_day")
+    return evaluation.permutation_importance(view, KEY, ["dep_minute_of_day", "origin_city", "dest_city"], _rule, seed=7)
+
+
+@query
+def rule_segments(spark, folder):
+    """Error of the noon rule over all combinations of carrier, destination and hour with thirty legs or more."""
+    view = legs(spark, folder, "carrier", "dest_city", "dep_hhmm", "dep_del15").select(
+        "carrier", "dest_city", times.hhmm_hour("dep_hhmm").cast("int").alias("dep_hour"), F.col("dep_del15").cast("int").alias("label")
+    )
+    scored = model.rule_scores(features.labelled(view), F.col("dep_hour") >= 12)
+    found = evaluation.segments(scored, ["carrier", "dest_city", "dep_hour"], min_rows=30)
+    return found.withColumns({name: F.round(name, 9) for name in ("error_rate", "lift")})
+
+
+@query
+def rule_typed_rows(spark, folder):
+    """Legs typed as text, scored by the noon rule: the path of a single typed row, over a whole table."""
+    typed = {
+        "CRSDepTimestamp": "concat(date_format(l_shipdate, 'yyyy-MM-dd'), ' ', lpad(CAST(l_partkey % 25 AS STRING), 2, '0'), ':', lpad(CAST(l_suppkey % 60 AS STRING), 2, '0'))",
+        "FlightDate": "date_format(l_shipdate, 'yyyy-MM-dd')",
+        "OriginPrecipitation": "CASE l_linenumber % 3 WHEN 0 THEN '[]' WHEN 1 THEN 'rain' END",
+        "Marketing_Airline_Network": "l_returnflag",
+        "Operating_Airline": "l_linestatus",
+        "CRSArrTime": "CAST(l_partkey % 24 * 100 + l_suppkey % 60 AS INT)",
+    }
+    spec = dataclasses.replace(features.PUBLISHED, passed_on=("leg_id",))
+    source = table(spark, folder, "lineitem")
+    rows = source.select(
+        LEG_COLUMNS["leg_id"][1]().alias("leg_id"),
+        *[(F.expr(typed[field.name]) if field.name in typed else F.lit(None)).cast(field.dataType).alias(field.name) for field in schemas.SCORING_ROW],
+    )
+    fills = {name: 0.0 for name in spec.number_columns}
+    scored = model.score_typed_rows(None, rows, spec, fills, _rule)
+    return scored.select("leg_id", "prediction", "delay_probability", F.col("Marketing_Airline_Network").alias("network"))
+
+
+@query
+def stable_ids(spark, folder):
+    """Ids from the content of a row, the same in any engine."""
+    view = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag")
+    return lookup.with_digest_id(view, view.columns, "leg_digest").select("l_orderkey", "l_linenumber", "leg_digest")
+
+
 @query
 def class_weights(spark, folder):
     labels = legs(spark, folder, "dep_del15").select(F.col("dep_del15").cast("int").alias("label"))
@@ -982,8 +1030,9 @@ def _prepared(spark, folder):
     raw = features.labelled(features.raw_features(legs(spark, folder, *SPEC.inputs), SPEC))
     numbers = features.number_features(legs(spark, folder, *SPEC.number_inputs), SPEC)
     fills = features.fit_fills(model.train_test(numbers, KEY)[0], SPEC)
-    training, test = model.train_test(raw, KEY)
-    return shaping.fill_nulls(training, fills), shaping.fill_nulls(test, fills), fills
+    # Every stage of a fit reads its rows again: the joins and the feature build are done once.
+    training, test = (stored(spark, shaping.fill_nulls(part, fills), "features") for part in model.train_test(raw, KEY))
+    return training, test, fills
 
 
 def _trained(spark, folder):
@@ -1000,6 +1049,11 @@ def _scored(spark, folder):
     return model.score(trained, test)
 
 
+def _probabilities(spark, folder):
+    """Labels, predictions and probabilities of the test rows, scored once."""
+    return stored(spark, _scored(spark, folder).select("label", "prediction", "delay_probability"), "probabilities")
+
+
 @query
 def train_score_metrics(spark, folder):
     return model.metrics_table(_scored(spark, folder))
@@ -1007,10 +1061,7 @@ def train_score_metrics(spark, folder):
 
 @query
 def curve_metrics(spark, folder):
-    trained, test, _ = _trained(spark, folder)
-    raw = trained.transform(test)
-    values = model.evaluator_metrics(raw.select(F.col("label").cast("double").alias("label"), "prediction", "probability"))
-    return spark.createDataFrame(sorted(values.items()), "metric STRING, value DOUBLE")
+    return model.all_metrics(_probabilities(spark, folder)).orderBy("metric")
 
 
 @query
@@ -1084,9 +1135,9 @@ def half_year_models(spark, folder):
 def stream_score(spark, folder):
     """The saved model on a stream of features, read back and counted per label and prediction."""
     trained, test, _ = _trained(spark, folder)
-    stored, saved, out = (scratch_path(spark, name) for name in ("features", "model", "scored"))
-    test.write.parquet(stored)
+    rows, saved, out = (scratch_path(spark, name) for name in ("features", "model", "scored"))
+    test.write.parquet(rows)
     model.save(trained, saved)
-    stream = sinks.file_stream(spark, stored, test.schema, files_per_batch=64)
+    stream = sinks.file_stream(spark, rows, test.schema, files_per_batch=64)
     _finish(scoring.score_to_parquet(model.load(saved), stream, out, scratch_path(spark, "scored-state")))
     return model.confusion(spark.read.parquet(out))

@@ -49,6 +49,12 @@ def with_key_hash(df: DataFrame, columns: list[str], name: str = "leg_id") -> Da
     return df.withColumn(name, F.xxhash64(*columns))
 
 
+def with_digest_id(df: DataFrame, columns: list[str], name: str = "leg_id") -> DataFrame:
+    """The same as text, by a hash that other engines have too. NULL and the empty text give different ids."""
+    parts = [F.coalesce(F.concat(F.length(F.col(c).cast("string")), F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in columns]
+    return df.withColumn(name, F.md5(F.concat_ws("|", *parts)))
+
+
 def by_ids(df: DataFrame, ids: DataFrame, key: str = "leg_id") -> DataFrame:
     """Rows for a table of ids: one equi-join in place of a filter per request."""
     return df.join(ids.select(key).distinct(), key, "left_semi")

@@ -139,10 +139,28 @@ def rule_scores(features: DataFrame, late_when: Column) -> DataFrame:
     return features.withColumns({"prediction": says_late, "delay_probability": says_late.cast("double")})
 
 
-def score_typed_rows(model: PipelineModel, rows: DataFrame, spec: FeatureSpec, fills: Mapping[str, float]) -> DataFrame:
-    """Scores for hand-typed legs, by the same feature build as everywhere else."""
+def score_typed_rows(
+    model: PipelineModel | None, rows: DataFrame, spec: FeatureSpec, fills: Mapping[str, float], scorer=None
+) -> DataFrame:
+    """Scores for hand-typed legs, by the same feature build as everywhere else; ``scorer`` may stand in for the model."""
     built = build_features(scoring_row_to_leg(rows), spec, fills)
-    return score(model, built).select(*spec.categories, "prediction", "delay_probability")
+    scored = scorer(built) if scorer else score(model, built)
+    return scored.select(*spec.passed_on, *spec.categories, "prediction", "delay_probability")
+
+
+def all_metrics(scored: DataFrame) -> DataFrame:
+    """``(metric, value)``: accuracy, weighted F1, precision and recall of the delayed class, both curve areas.
+
+    Two aggregates over scored rows; give it a stored table, or the rows are scored for each of them.
+    """
+    names = ["accuracy", "f1", "precision", "recall"]
+    areas = ["roc_auc", "pr_auc"]
+
+    def long(row: DataFrame, columns: Sequence[str]) -> DataFrame:
+        cells = [F.struct(F.lit(name).alias("metric"), F.col(name).alias("value")) for name in columns]
+        return row.select(F.inline(F.array(*cells)))
+
+    return long(metrics_table(scored), names).unionByName(long(curve_table(scored), areas))
 
 
 def score_date(
@@ -225,12 +243,15 @@ def curve_table(scored: DataFrame) -> DataFrame:
 
     Scores with equal values are one step of the curves; areas are sums of trapezoids, the precision-recall curve
     starting at the precision of its first point. The running counts are over different scores, cut into
-    ``CURVE_PARTS`` parts by score so that no task holds all of them.
+    ``CURVE_PARTS`` parts by score so that no task holds all of them. Rows without a score (NULL or NaN) rank below all
+    others, as one step.
     """
-    counts = scored.groupBy(F.col("delay_probability").alias("score")).agg(
+    score = F.col("delay_probability")
+    counts = scored.groupBy(F.when(~F.isnan(score), score).alias("score")).agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")
     )
-    parted = counts.withColumn("part", F.least(F.floor(F.col("score") * CURVE_PARTS), F.lit(CURVE_PARTS - 1)))
+    part = F.greatest(F.least(F.floor(F.col("score") * CURVE_PARTS), F.lit(CURVE_PARTS - 1)), F.lit(0))
+    parted = counts.withColumn("part", F.when(F.col("score").isNull(), -1).otherwise(part))
     above = Window.orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)
     starts = parted.groupBy("part").agg(F.sum("pos").alias("part_pos"), F.sum("neg").alias("part_neg"))
     starts = starts.select(
@@ -326,7 +347,7 @@ def grid_search(
     search = CrossValidator(
         estimator=pipeline(spec, trees),
         estimatorParamMaps=builder.build(),
-        evaluator=BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="probability"),
+        evaluator=BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="probability", numBins=0),
         numFolds=folds,
         parallelism=parallelism,
         seed=seed,

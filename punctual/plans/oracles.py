@@ -654,6 +654,46 @@ ORACLES: dict[str, str] = {
         f"""{SCORED} SELECT leg_id, prediction AS delay, probability AS delay_probability
         FROM p WHERE leg_id IN (SELECT leg_id FROM s WHERE leg_date = DATE '1998-03-17')"""
     ),
+    "rule_permutation_importance": _legs(
+        """, p AS (SELECT leg_id, CAST(dep_hhmm // 100 * 60 + dep_hhmm % 100 AS INTEGER) AS minute, CAST(dep_del15 AS INTEGER) AS label
+                 FROM legs WHERE dep_del15 IS NOT NULL),
+        a AS (SELECT label, row_number() OVER (ORDER BY md5('7:' || leg_id)) AS place FROM p),
+        b AS (SELECT minute, row_number() OVER (ORDER BY md5('7:dep_minute_of_day:' || leg_id)) AS place FROM p),
+        base AS (SELECT avg(CAST(label = CAST(minute >= 720 AS INTEGER) AS INTEGER)) AS accuracy, count(*) AS rows FROM p),
+        c AS (SELECT avg(CAST(label = CAST(minute >= 720 AS INTEGER) AS INTEGER)) AS accuracy FROM a JOIN b USING (place))
+        SELECT 'dep_minute_of_day' AS feature, rows, c.accuracy, base.accuracy - c.accuracy AS importance FROM base, c
+        UNION ALL SELECT f.feature, rows, accuracy, 0.0::DOUBLE FROM base, (VALUES ('origin_city'), ('dest_city')) AS f(feature)"""
+    ),
+    "rule_segments": _legs(
+        f""", r AS (SELECT carrier, dest_city, CAST(dep_hhmm // 100 AS INTEGER) AS dep_hour, CAST(dep_del15 AS INTEGER) AS label
+                 FROM legs WHERE dep_del15 IS NOT NULL),
+        s AS (SELECT carrier, dest_city, dep_hour, GROUPING(carrier) AS gc, GROUPING(dest_city) AS gd, GROUPING(dep_hour) AS gh,
+                count(*) AS rows, count(*) FILTER (label <> CAST(dep_hour >= 12 AS INTEGER)) AS errors
+              FROM r GROUP BY CUBE (carrier, dest_city, dep_hour) HAVING count(*) >= 30),
+        t AS (SELECT *, CAST(errors AS DOUBLE) / rows AS rate FROM s)
+        SELECT concat_ws('+', CASE WHEN c.gc = 0 THEN 'carrier' END, CASE WHEN c.gd = 0 THEN 'dest_city' END,
+                         CASE WHEN c.gh = 0 THEN 'dep_hour' END) AS level,
+          c.carrier, c.dest_city, c.dep_hour, c.rows, c.errors, {rnd('c.rate', 9)} AS error_rate,
+          {rnd('c.rate / NULLIF(p.rate, 0)', 9)} AS lift
+        FROM t c LEFT JOIN t p ON c.gc + c.gd + c.gh < 3
+          AND p.gh = 1
+          AND p.gd = CASE WHEN c.gh = 0 THEN c.gd ELSE 1 END
+          AND p.gc = CASE WHEN c.gh = 0 OR c.gd = 0 THEN c.gc ELSE 1 END
+          AND (p.gd = 1 OR p.dest_city IS NOT DISTINCT FROM c.dest_city)
+          AND (p.gc = 1 OR p.carrier IS NOT DISTINCT FROM c.carrier)"""
+    ),
+    "rule_typed_rows": _legs(
+        """, t AS (SELECT l_orderkey * 1000003 + l_partkey * 8191 + l_suppkey * 131 + l_linenumber * 17 + CAST(l_quantity AS BIGINT) AS leg_id,
+                    l_returnflag, l_partkey % 25 AS h, l_suppkey % 60 AS m FROM lineitem)
+        SELECT leg_id, l_returnflag AS network,
+          CASE WHEN h < 24 AND h * 60 + m >= 720 THEN 1 ELSE 0 END AS prediction,
+          CASE WHEN h < 24 THEN round(CAST(CAST(CAST((h * 60 + m) / 1440 AS VARCHAR) AS DECIMAL(38,18)) AS DECIMAL(38,18)), 3)::DOUBLE END AS delay_probability
+        FROM t"""
+    ),
+    "stable_ids": """
+        SELECT l_orderkey, l_linenumber, md5(concat_ws('|', """
+    + ", ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || '=' || CAST({c} AS VARCHAR), '-')" for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag"))
+    + """)) AS leg_digest FROM lineitem""",
     "enrich_legs": _enriched(),
     "stream_late_rows": f"""
         WITH e AS (SELECT *, least((day(ts) - 1) // 8, 3) AS week, event_id % 50 = 0 AS late,
