@@ -11,14 +11,14 @@ NaN counts as a value above all others, as in Spark's sort order; infinite value
 own. NULL is no value.
 
 **Sketches.** One KLL sketch per day and key, stored in a folder per day. A day that comes again replaces its folder, and
-any set of days is merged without reading their rows.
+any set of days is merged without reading their rows (``sources.files.replace_parts`` and ``read_parts``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stored
@@ -165,16 +165,6 @@ def daily_sketches(df: DataFrame, day: str, keys: Sequence[str], value: str, siz
     return real.groupBy(day, *keys).agg(F.kll_sketch_agg_double(number, size).alias("sketch"), F.count(F.lit(1)).alias("rows"))
 
 
-def store_days(rows: DataFrame, day: str, path: str) -> None:
-    """Write rows to a folder per day; the days that ``rows`` holds replace their folders, others stay."""
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day)
-    writer.parquet(path)
-
-
-def read_days(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def merged_quantiles(sketches: DataFrame, keys: Sequence[str], quantiles: Mapping[str, float], size: int = SKETCH_SIZE) -> DataFrame:
     """Quantiles per key (empty: of all) from the sketches of any days, with ``rows``. No row of the days is read."""
     merged = sketches.groupBy(*keys).agg(F.kll_merge_agg_double("sketch", size).alias("_sketch"), F.sum("rows").alias("rows"))

@@ -30,20 +30,30 @@ def _window_average(daily: DataFrame, keys: Sequence[str], day: str, start: int,
     )
 
 
+def rolling_from_totals(
+    daily: DataFrame, keys: Sequence[str], day: str, days: int = 7, name: str = "rolling_avg"
+) -> DataFrame:
+    """The average of the last ``days`` days from daily totals, stored or just made."""
+    return _window_average(daily, keys, day, -(days - 1), Window.currentRow, name)
+
+
+def prior_from_totals(daily: DataFrame, keys: Sequence[str], day: str, name: str = "prior_avg") -> DataFrame:
+    """The average of all earlier days from daily totals, stored or just made."""
+    return _window_average(daily, keys, day, Window.unboundedPreceding, -1, name)
+
+
 def rolling_average(
     df: DataFrame, keys: Sequence[str], day: str, value: str, days: int = 7, name: str = "rolling_avg"
 ) -> DataFrame:
     """Average of all rows of the last ``days`` days, the current one included, per key and day."""
-    daily = daily_totals(df, keys, day, value)
-    return _window_average(daily, keys, day, -(days - 1), Window.currentRow, name)
+    return rolling_from_totals(daily_totals(df, keys, day, value), keys, day, days, name)
 
 
 def prior_average(
     df: DataFrame, keys: Sequence[str], day: str, value: str, name: str = "prior_avg"
 ) -> DataFrame:
     """Average of all rows of earlier days per key and day; NULL on a key's first day."""
-    daily = daily_totals(df, keys, day, value)
-    return _window_average(daily, keys, day, Window.unboundedPreceding, -1, name)
+    return prior_from_totals(daily_totals(df, keys, day, value), keys, day, name)
 
 
 def attach_prior_average(

@@ -9,17 +9,18 @@ from __future__ import annotations
 import dataclasses
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text, times
 from ..functions import observations as decode
 from ..functions.registry import register_sql_functions
-from ..operators import asof, intervals, joins, profile, quantiles, shaping, timeframes
+from ..operators import asof, bitmaps, intervals, joins, profile, quantiles, rolling as days, shaping, timeframes
 from ..session import scratch_path, stored
 from ..sources import files, observations, schemas
 from ..sources.tables import LEG_COLUMNS, asof_sides, legs, raw_observation_lines, table
-from ..streaming import enrichment, envelopes, live, rolling, scoring, sinks
+from ..streaming import enrichment, envelopes, late, live, rolling, scoring, sinks
 from . import delays, enrich, evaluation, features, lookup, model, weather
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -176,6 +177,19 @@ def route_baseline(spark, folder):
     return result.select(*keys, times.day_text("leg_date").alias("leg_day"), "day_rows", "prior_avg")
 
 
+@query
+def incremental_rolling_delay(spark, folder):
+    """The rolling delay from stored daily totals after four loads: incomplete early months, the others, the early ones
+    corrected, and the others once more."""
+    path, keys = scratch_path(spark, "daily-totals"), ["origin_city"]
+    view = legs(spark, folder, *keys, "leg_date", "arr_delay", "leg_id").withColumn("month", F.trunc("leg_date", "month"))
+    early = F.col("leg_date") < "1994-01-01"
+    for part in (view.filter(early & (F.col("leg_id") % 3 == 0)), view.filter(~early), view.filter(early), view.filter(~early)):
+        files.replace_parts(days.daily_totals(part, [*keys, "month"], "leg_date", "arr_delay"), "month", path)
+    result = days.rolling_from_totals(files.read_parts(spark, path).drop("month"), keys, "leg_date")
+    return result.select("origin_city", times.day_text("leg_date").alias("leg_day"), "day_rows", "rolling_avg")
+
+
 @query
 def rolling_delay(spark, folder):
     result = delays.rolling_delay(legs(spark, folder, "origin_city", "leg_date", "arr_delay"), ["origin_city"])
@@ -318,8 +332,8 @@ def sketch_rank_error(spark, folder):
     )
     path, early = scratch_path(spark, "sketches"), F.col("month") < "1994-01-01"
     for part in (view.filter(early & (F.col("leg_id") % 5 == 0)), view.filter(~early), view.filter(early)):
-        quantiles.store_days(quantiles.daily_sketches(part, "month", ["carrier"], "share"), "month", path)
-    found = quantiles.merged_quantiles(quantiles.read_days(spark, path), ["carrier"], QUARTILES)
+        files.replace_parts(quantiles.daily_sketches(part, "month", ["carrier"], "share"), "month", path)
+    found = quantiles.merged_quantiles(files.read_parts(spark, path), ["carrier"], QUARTILES)
     errors = quantiles.rank_errors(view, ["carrier"], "share", found, QUARTILES)
     return errors.select("carrier", "quantile", "rows", (F.col("error") <= RANK_BOUND).alias("within_bound"))
 
@@ -560,6 +574,16 @@ def dates_by_dest(spark, folder):
     return result.withColumn("dates", _list_text("dates"))
 
 
+@query
+def dates_by_dest_bitmaps(spark, folder):
+    """Dates per destination from stored bitmaps of a month each, merged."""
+    path = scratch_path(spark, "day-bitmaps")
+    view = legs(spark, folder, "dest_city", "leg_date").withColumn("month", F.trunc("leg_date", "month"))
+    files.replace_parts(bitmaps.day_bitmaps(view, ["dest_city", "month"], "leg_date"), "month", path)
+    result = bitmaps.day_lists(files.read_parts(spark, path), ["dest_city"])
+    return result.withColumn("dates", _list_text("dates"))
+
+
 @query
 def legs_by_dest_date(spark, folder):
     view = legs(spark, folder, "dest_city", "leg_date", "leg_id", "dep_hhmm", "arr_hhmm")
@@ -702,6 +726,29 @@ def stream_live_enrich(spark, folder):
 LATE_EVERY = 50
 
 
+def _weekly_stream(events, path):
+    """Events in four weekly parts, and after them every fiftieth of all weeks."""
+    week, delayed = F.least(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(3)), F.col("event_id") % LATE_EVERY == 0
+    for part in [*[events.filter((week == number) & ~delayed) for number in range(4)], events.filter(delayed)]:
+        part.repartition(FILES_PER_BATCH, "event_id").write.mode("append").parquet(path)
+    return sinks.file_stream(events.sparkSession, path, events.schema, files_per_batch=FILES_PER_BATCH)
+
+
+@query
+def stream_late_kept(spark, folder):
+    """The same stream with its late rows kept: the closed windows, what came too late, and both merged."""
+    events = table(spark, folder, "events")
+    out, closed = scratch_path(spark, "split"), scratch_path(spark, "windows")
+    width, metrics = rolling.WIDTHS[0], {"num_events": F.count(F.lit(1))}
+    stream = _weekly_stream(events, scratch_path(spark, "late-files"))
+    _finish(late.split_late(stream, "ts", width, 86_400, out, scratch_path(spark, "split-state")))
+    parts = {name: rolling.windowed_metrics(late.read_part(spark, out, name, events.schema), "ts", ["event_type"], metrics, width).drop("window_end") for name in ("on_time", "late")}
+    late.store_windows(parts["on_time"], closed)
+    late.merge_late(spark, closed, parts["late"], ["event_type"], list(metrics))
+    found = shaping.tagged_union({"late": parts["late"], "merged": late.windows(spark, closed)}, "part")
+    return found.select("part", "event_type", times.second_text("window_start").alias("window_start"), "num_events")
+
+
 @query
 def stream_late_rows(spark, folder):
     """Counts per event type and 15 minutes with a day's lateness: four weeks in order, then what came too late.
@@ -710,12 +757,7 @@ def stream_late_rows(spark, folder):
     """
     events = table(spark, folder, "events")
     path, out = scratch_path(spark, "late-files"), scratch_path(spark, "late")
-    week, late = F.least(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(3)), F.col("event_id") % LATE_EVERY == 0
-    for number in range(4):
-        part = events.filter((week == number) & ~late)
-        part.repartition(FILES_PER_BATCH, "event_id").write.mode("append").parquet(path)
-    events.filter(late).repartition(FILES_PER_BATCH, "event_id").write.mode("append").parquet(path)
-    stream = sinks.file_stream(spark, path, events.schema, files_per_batch=FILES_PER_BATCH)
+    stream = _weekly_stream(events, path)
     counts = rolling.windowed_metrics(
         rolling.event_time(stream, "ts", "1 day"), "ts", ["event_type"], {"num_events": F.count(F.lit(1))}, rolling.WIDTHS[0]
     )
@@ -878,6 +920,18 @@ def word_flag_features(spark, folder):
     return flagged.drop(*FLAG_WORDS)
 
 
+SLOTS = 64
+
+
+@query
+def hashed_features(spark, folder):
+    """Categories and list words of every leg as a sparse vector of fixed width, read back as ``slot:count``."""
+    raw = features.raw_features(legs(spark, folder, *SPEC.inputs), SPEC)
+    coded = model.slot_encoder(SLOTS).transform(features.hashed_slots(raw, SPEC, SLOTS))
+    cells = F.transform(vector_to_array("hashed"), lambda n, at: F.when(n > 0, F.concat_ws(":", at, n.cast("int"))))
+    return coded.select(KEY, F.array_join(cells, ",").alias("slots"))
+
+
 @query
 def split_sample(spark, folder):
     tagged = model.tag_split(legs(spark, folder, KEY), KEY)

@@ -184,6 +184,27 @@ def with_word_flags(df: DataFrame, words: Mapping[str, Sequence[str]]) -> DataFr
     return df.withColumns(flags)
 
 
+HASHED_WIDTH = 1024
+
+
+def hashed_slots(features: DataFrame, spec: FeatureSpec, width: int = HASHED_WIDTH, name: str = "slots") -> DataFrame:
+    """Add the slots (from 0, below ``width``) of a row's categories and list words, by a hash of ``column=value``.
+
+    The width is a parameter, so no list of labels is gathered anywhere, and words that training hasn't seen have a slot
+    as well. Two words may share one; a row has as many slots as it has categories and words, repeats included.
+    """
+    def named(column: str, words: Column) -> Column:
+        return F.transform(words, lambda word: F.concat(F.lit(f"{column}="), word))
+
+    texts = {c: F.coalesce(F.col(c), F.lit("None")) for c in spec.category_columns}
+    tokens = [named(c, F.array(texts[c])) for c in spec.categories]
+    tokens += [named(c, F.split(texts[c], ",")) for c in spec.lists]
+    number = F.transform(
+        F.concat(*tokens), lambda token: F.conv(F.substring(F.md5(F.encode(token, "UTF-8")), 1, 7), 16, 10).cast("long") % width
+    )
+    return features.withColumn(name, F.transform(number, lambda slot: slot.cast("string")))
+
+
 def complete_rows(legs: DataFrame, spec: FeatureSpec) -> DataFrame:
     """The stricter variant: rows with any missing input are left out instead of filled."""
     return legs.dropna(subset=[c for c in spec.inputs if c in legs.columns])

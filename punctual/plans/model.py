@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import CountVectorizerModel, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -18,7 +18,7 @@ from ..functions import text
 from ..operators.shaping import fill_nulls
 from ..sources.dimensions import literal_table
 from ..sources.files import write_partitioned
-from .features import FeatureSpec, build_features, fit_fills, scoring_row_to_leg
+from .features import HASHED_WIDTH, FeatureSpec, build_features, fit_fills, scoring_row_to_leg
 from .lookup import by_ids
 
 
@@ -88,6 +88,24 @@ def pipeline(
     return Pipeline(stages=[*stages, classifier])
 
 
+def slot_encoder(width: int = HASHED_WIDTH, slots: str = "slots", vector: str = "hashed") -> CountVectorizerModel:
+    """A sparse vector of ``width`` counts from the slots that ``features.hashed_slots`` gives.
+
+    Its vocabulary is the numbers of the slots, fixed by the width; nothing is fitted.
+    """
+    return CountVectorizerModel.from_vocabulary([str(slot) for slot in range(width)], inputCol=slots, outputCol=vector)
+
+
+def hashed_pipeline(spec: FeatureSpec, classifier: Estimator, width: int = HASHED_WIDTH) -> Pipeline:
+    """The pipeline for open vocabularies: hashed categories and list words beside the numbers.
+
+    Rows need the column ``slots`` (``features.hashed_slots``). The vector has ``width`` slots and the numbers, however
+    many categories there are, where ``pipeline`` has a slot for each.
+    """
+    assembler = VectorAssembler(inputCols=["hashed", *spec.number_columns], outputCol="features", handleInvalid="keep")
+    return Pipeline(stages=[slot_encoder(width), assembler, classifier])
+
+
 def standardised(df: DataFrame, numbers: Sequence[str]) -> DataFrame:
     """Numbers with mean 0 and standard deviation 1; rows with a missing number are left out."""
     assembler = VectorAssembler(inputCols=list(numbers), outputCol="_numbers", handleInvalid="skip")

@@ -213,6 +213,18 @@ def _rolling() -> str:
 SPLIT_BUCKET = "CAST('0x' || substr(md5('42:' || CAST(leg_id AS VARCHAR)), 1, 7) AS BIGINT) % 100"
 
 
+def _hashed_features(width: int) -> str:
+    categories = ["carrier", "operator", "origin_city", "dest_city"]
+    lists = ["origin_precipitation", "origin_clouds", "dest_precipitation", "dest_clouds"]
+    tokens = [f"SELECT leg_id, '{c}=' || coalesce({c}, 'None') AS token FROM legs" for c in categories]
+    tokens += [f"SELECT leg_id, '{c}=' || unnest(string_split(coalesce({_label(c, ',')}, 'None'), ',')) FROM legs" for c in lists]
+    return _legs(
+        f""", t AS ({' UNION ALL '.join(tokens)}),
+        s AS (SELECT leg_id, CAST('0x' || substr(md5(token), 1, 7) AS BIGINT) % {width} AS slot, count(*) AS n FROM t GROUP BY 1, 2)
+        SELECT leg_id, string_agg(slot || ':' || n, ',' ORDER BY slot) AS slots FROM s GROUP BY 1"""
+    )
+
+
 def _feature_table() -> str:
     numbers = [*FEATURE_NUMBERS, "DepHour", "ArrHour", "DepMinute", "ArrMinute", "is_weekend"]
     categories = ["carrier", "operator", "origin_city", "dest_city"]
@@ -606,6 +618,7 @@ ORACLES: dict[str, str] = {
         FROM l ASOF LEFT JOIN o ON l.station = o.station AND l.leg_time >= o.obs_time
         WHERE l.leg_time <= (SELECT mark FROM w)""",
     "feature_table": _feature_table(),
+    "hashed_features": _hashed_features(64),
     "word_flag_features": _legs(
         "SELECT leg_id, "
         + ", ".join(
@@ -701,6 +714,13 @@ ORACLES: dict[str, str] = {
         w AS (SELECT max(ts) - INTERVAL 1 DAY AS mark FROM e WHERE NOT late AND week <= 2)
         SELECT event_type, strftime(slot, {SECONDS}) AS window_start, count(*) AS num_events
         FROM e, w WHERE NOT late OR slot + INTERVAL 15 MINUTE > mark GROUP BY 1, 2""",
+    "stream_late_kept": f"""
+        WITH e AS (SELECT *, event_id % 50 = 0 AS delayed, time_bucket(INTERVAL 15 MINUTE, ts, TIMESTAMP '1970-01-01') AS slot FROM events),
+        w AS (SELECT max(ts) - INTERVAL 1 DAY AS mark FROM e WHERE NOT delayed)
+        SELECT 'merged' AS part, event_type, strftime(slot, {SECONDS}) AS window_start, count(*) AS num_events FROM e GROUP BY 1, 2, 3
+        UNION ALL
+        SELECT 'late', event_type, strftime(slot, {SECONDS}), count(*) FROM e, w
+        WHERE delayed AND slot + INTERVAL 15 MINUTE <= mark GROUP BY 1, 2, 3""",
     "stream_mean_scores": """
         SELECT user_id AS station, strftime(ts, '%Y-%m-%d') AS day, count(*) AS num_legs,
           round(CAST(sum(CAST(round(CAST(CAST((hour(ts) * 60 + minute(ts)) / 1440 AS VARCHAR) AS DECIMAL(38,18)), 3) AS DECIMAL(18,3))) AS DOUBLE)
@@ -739,3 +759,7 @@ ORACLES: dict[str, str] = {
         FROM legs WHERE dep_del15 IS NOT NULL GROUP BY dep_del15"""
     ),
 }
+
+# The same results by other ways.
+ORACLES["incremental_rolling_delay"] = ORACLES["rolling_delay"]
+ORACLES["dates_by_dest_bitmaps"] = ORACLES["dates_by_dest"]

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from punctual.operators import profile, quantiles
+from punctual.sources import files
 
 NAMES = {"q0": 0.0, "q1": 0.013, "q25": 0.25, "q5": 0.5, "q9": 0.9, "q1000": 1.0}
 
@@ -98,8 +99,8 @@ def test_sketches_merge_and_replace_days(spark, tmp_path):
     path = str(tmp_path / "sketches")
     wrong = df.filter(F.col("day") < days[3]).withColumn("v", F.col("v") + 1000)
     for part in (wrong, df.filter(F.col("day") >= days[3]), df.filter(F.col("day") < days[3]), df.filter(F.col("day") == days[5])):
-        quantiles.store_days(quantiles.daily_sketches(part, "day", ["k"], "v"), "day", path)
-    stored = quantiles.read_days(spark, path)
+        files.replace_parts(quantiles.daily_sketches(part, "day", ["k"], "v"), "day", path)
+    stored = files.read_parts(spark, path)
     assert stored.count() == 12
     asked = {"p5": 0.05, "p50": 0.5, "p95": 0.95}
     for keys in (["k"], []):
