@@ -54,9 +54,14 @@ def keys_of(url: Column) -> Column:
 
 
 def intervals(entries: DataFrame, key: str = "key", action: str = "action", since: str = "since") -> DataFrame:
-    """One row per entry: ``key``, ``action``, ``valid_from`` and ``valid_to`` (not included; null while it lasts)."""
+    """One row per entry: ``key``, ``action``, ``valid_from`` and ``valid_to`` (not included; null while it lasts).
+
+    Hosts are lower-cased, as those of captures are; paths keep their case.
+    """
     known = entries.filter(F.col(key).isNotNull() & F.col(action).isNotNull() & F.col(since).isNotNull())
-    one = known.groupBy(F.lower(key).alias("key"), F.col(since).alias("valid_from")).agg(F.max(action).alias("action"))
+    host = F.substring_index(key, "/", 1)
+    as_asked = F.concat(F.lower(host), F.expr(f"substring(`{key}`, length(substring_index(`{key}`, '/', 1)) + 1)"))
+    one = known.groupBy(as_asked.alias("key"), F.col(since).alias("valid_from")).agg(F.max(action).alias("action"))
     following = F.lead("valid_from").over(Window.partitionBy("key").orderBy("valid_from"))
     return one.withColumn("valid_to", following)
 

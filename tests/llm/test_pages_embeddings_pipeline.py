@@ -88,6 +88,13 @@ def day(n):
     return datetime(2024, 1, n)
 
 
+def test_paths_keep_their_case(spark):
+    entries = spark.createDataFrame([("Bad.example/Ok", "block", day(1)), ("BAD.example/B/C", "block", day(1))], "key string, action string, since timestamp")
+    urls = {"http://bad.example/Ok/1": False, "http://Bad.Example/Ok": False, "http://bad.example/ok/1": True, "http://bad.example/B/C/d": False, "http://bad.example/b/c": True}
+    captures = spark.createDataFrame([(url, day(2)) for url in urls], "url string, fetched timestamp")
+    assert {row.url: row.kept for row in urlfilter.evaluate(captures, urlfilter.intervals(entries)).collect()} == urls
+
+
 def test_lists_at_fetch_time(spark):
     entries = spark.createDataFrame(
         [("Bad.example", "block", day(5)), ("bad.example", "allow", day(10)), ("bad.example", "block", day(10)), ("bad.example", "allow", day(20)),
