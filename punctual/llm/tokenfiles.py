@@ -81,12 +81,20 @@ def _blocks(spark: SparkSession, path: str, block_tokens: int, names: str | None
 
     reader = spark.read.format("binaryFile")
     files = (reader if names is None else reader.option("pathGlobFilter", names)).load(path)
-    named = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
+    # The place below the folder that is read, or the whole path where that is a pattern.
+    root = path.split(":", 1)[-1].rstrip("/") + "/"
+    inside = F.instr("path", root)
+    name = F.when(inside > 0, F.expr(f"substring(path, instr(path, '{_quoted(root)}') + {len(root)})")).otherwise(F.col("path"))
+    named = files.select(name.alias("file"), "content")
     return named.mapInArrow(rows, "file string, block long, n long, ends array<int>")
 
 
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def scan(spark: SparkSession, path: str, block_tokens: int = BLOCK_TOKENS, names: str | None = None) -> DataFrame:
-    """One row per document: ``file``, ``document`` (its number in the file), ``start`` (place of its first id),
+    """One row per document: ``file`` (its path below ``path``, whole where that is a pattern), ``document`` (its number in the file), ``start`` (place of its first id),
     ``n_tokens`` (without the end id) and ``complete``.
 
     ``names`` is a pattern for the names of the files to read, as ``*.bin``; without it all are read but hidden ones (names

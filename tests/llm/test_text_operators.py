@@ -186,6 +186,15 @@ def test_scan_reads_files_of_any_name(spark, tmp_path):
     assert [row.file for row in tokenfiles.scan(spark, str(tmp_path), names="*.bin").collect()] == ["train_000.bin"]
 
 
+def test_files_of_one_name_stay_apart(spark, tmp_path):
+    for folder, ids in (("a", [1, 0, 2, 3, 0]), ("b", [4, 5, 6, 0])):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "x.bin").write_bytes(np.array(ids, "<u4").tobytes())
+    rows = tokenfiles.scan(spark, f"{tmp_path}/*", 2).collect()
+    assert sorted((r.file.split("/")[-2:], r.document, r.start, r.n_tokens) for r in rows) == [
+        (["a", "x.bin"], 0, 0, 1), (["a", "x.bin"], 1, 2, 2), (["b", "x.bin"], 0, 0, 3)]
+
+
 def test_scan_query_counts_all_documents(spark):
     want = sorted(len(words(row.text)) for row in spark.read.parquet(f"{SMALL}/documents.parquet").collect())
     assert sorted(row.n_tokens for row in queries.separator_scan(spark, SMALL).collect()) == want
