@@ -19,7 +19,7 @@ def _rules() -> str:
     return " AND ".join(parts)
 
 
-_STOPS = " ".join(f"WHEN lang = '{code}' THEN {_texts(words)}" for code, words in STOP_WORDS.items())
+_CODES = ", ".join(f"'{code}'" for code in STOP_WORDS)
 _ANY_STOP = _texts(sorted({word for words in STOP_WORDS.values() for word in words}))
 
 QUALITY = rf"""
@@ -28,7 +28,7 @@ WITH d AS (
 ), w AS (
   SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
     list_filter(string_split(text, chr(10)), lambda line: regexp_matches(line, '[^\x20\x09-\x0D]')) AS lines,
-    CASE {_STOPS} ELSE {_ANY_STOP} END AS stops
+    CASE WHEN lang IN ({_CODES}) THEN {_ANY_STOP} END AS stops
   FROM d
 ), win AS (
   SELECT rid, i, array_to_string(words[i:i + 7], ' ') AS g
@@ -47,7 +47,8 @@ WITH d AS (
     len(list_filter(range(2, len(words) + 1), lambda i: words[i] = words[i - 1])) AS stutters,
     len(regexp_extract_all(text, '[A-Z0-9]')) AS capitals,
     len(list_filter(lines, lambda line: regexp_matches(line, '^\s*[-*•]'))) AS bullets,
-    len(list_intersect(list_distinct(words), stops)) AS stop_word_hits
+    CASE WHEN stops IS NOT NULL
+      THEN len(list_intersect(list_distinct(list_transform(words, lambda word: lower(word))), stops)) END AS stop_word_hits
   FROM w LEFT JOIN covered ON w.rid = covered.rid
 ), r AS (
   SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,

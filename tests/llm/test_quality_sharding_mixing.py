@@ -44,6 +44,32 @@ def test_quality_is_one_projection(spark):
     assert "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan
 
 
+CLEAN = {
+    "russian": "Вчера вечером мы долго гуляли вдоль реки и говорили о книгах которые прочли этим летом а потом вернулись домой пили чай слушали дождь и строили планы на осень чтобы снова поехать к морю",
+    "english": "Yesterday evening we walked along the river and talked of the books that we had read in the summer and then we came home to drink tea and listen to the rain on the roof",
+}
+
+
+@pytest.mark.parametrize("name,lang,kept", [
+    ("russian", "ru", True), ("russian", None, True), ("russian", "en", False), ("english", "en", True), ("english", "fr", True), ("english", None, True)])
+def test_clean_texts_are_kept(spark, name, lang, kept):
+    texts = [CLEAN[name]] if name == "russian" else [CLEAN[name], CLEAN[name].title()]
+    df = spark.createDataFrame([(i, text, lang) for i, text in enumerate(texts)], "doc_id long, text string, lang string")
+    assert {row.kept for row in quality.judge(df).collect()} == {kept}
+    hits = quality.measures(df.withColumn("text", F.upper("text"))).first()["stop_word_hits"]
+    assert hits is None if lang not in quality.STOP_WORDS else (hits >= 2) == (name == "english")
+
+
+@pytest.mark.parametrize("clash", ["_range", "_rows", "_start", "_inside", "_r_0"])
+def test_helper_names_may_be_columns(spark, clash):
+    df = spark.range(200).select("id", (F.col("id") % 3).cast("string").alias("source"), (F.col("id") * 2).alias(clash))
+    dealt = sharding.assign_shards(df, "source", ["id"], 7)
+    assert dealt.columns == ["id", "source", clash, "shard", "slot"]
+    assert dealt.filter(F.col(clash) != F.col("id") * 2).count() == 0 and dealt.select("shard", "slot").distinct().count() == 200
+    mixed = mixing.fit(df, "source", F.lit(3), ["id"], mixing.cycling_weight([2, 1]), 3)
+    assert clash in mixed.columns and mixed.filter(F.col(clash) != F.col("id") * 2).count() == 0
+
+
 def test_rule_bounds_and_null_measures(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (None,)], "m double")
     got = df.select(quality.compile_rules([quality.Rule("m", 2, 2.5)])).collect()
