@@ -1005,6 +1005,22 @@ def rule_score_date(spark, folder):
     return model.score_date(None, _rule_features(spark, folder), ONE_DAY, ["origin_city", "dest_city", KEY], _rule)
 
 
+LOOKUP_BUCKETS = 8
+
+
+@query
+def bucketed_score_ids(spark, folder):
+    """The same scores from a stored table in buckets of the id, and those of the greatest id looked up alone."""
+    path = scratch_path(spark, "legs-by-id")
+    name = f"legs_by_id_{path.rsplit('-', 1)[-1]}"
+    view = legs(spark, folder, KEY, "leg_date").filter(F.col("leg_date") == F.lit(ONE_DAY).cast("date"))
+    by_key = files.write_for_lookup(_rule_features(spark, folder), name, path, KEY, LOOKUP_BUCKETS)
+    greatest = view.agg(F.max(KEY)).first()[0]
+    one = model.score_ids(None, lookup.by_id(by_key, greatest, KEY), view, KEY, _rule)
+    parts = {"all": model.score_ids(None, by_key, view, KEY, _rule), "greatest": one}
+    return shaping.tagged_union(parts, "asked")
+
+
 @query
 def rule_score_ids(spark, folder):
     """Scores for the legs of one order date, asked for by id."""

@@ -55,6 +55,11 @@ def with_digest_id(df: DataFrame, columns: list[str], name: str = "leg_id") -> D
     return df.withColumn(name, F.md5(F.concat_ws("|", *parts)))
 
 
+def by_id(df: DataFrame, value: object, key: str = "leg_id") -> DataFrame:
+    """The rows of one id; on a table from ``files.write_for_lookup`` one bucket is read."""
+    return df.filter(F.col(key) == F.lit(value))
+
+
 def by_ids(df: DataFrame, ids: DataFrame, key: str = "leg_id") -> DataFrame:
     """Rows for a table of ids: one equi-join in place of a filter per request."""
     return df.join(ids.select(key).distinct(), key, "left_semi")

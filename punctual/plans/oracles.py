@@ -763,3 +763,5 @@ ORACLES: dict[str, str] = {
 # The same results by other ways.
 ORACLES["incremental_rolling_delay"] = ORACLES["rolling_delay"]
 ORACLES["dates_by_dest_bitmaps"] = ORACLES["dates_by_dest"]
+ORACLES["bucketed_score_ids"] = f"""WITH a AS ({ORACLES["rule_score_ids"]})
+    SELECT 'all' AS asked, * FROM a UNION ALL SELECT 'greatest', * FROM a WHERE leg_id = (SELECT max(leg_id) FROM a)"""

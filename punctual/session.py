@@ -18,6 +18,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # The JVM never compiles methods above 8000 bytes; longer generated methods would run interpreted.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # A bucketed table is read by buckets, so that a lookup of one id reads one of them.
+    "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false",
     # Rows may hold long texts: a batch for a Python worker stays at two megabytes, or one row.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.sql.execution.arrow.maxBytesPerBatch": "2m",
