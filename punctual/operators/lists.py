@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,12 +27,22 @@ def paged_records(
     decides on which page a record goes. So a key with a third of all rows becomes many lists of about
     ``page_size`` records, built by many tasks, and no record is left out.
     """
+    # Names of the table stay inside structs, so that no column name can clash with a helper's.
+    slim = df.select(
+        F.struct(*[F.col(key).alias(f"k{at}") for at, key in enumerate(keys)]).alias("_key"),
+        F.struct(*fields).alias("_record"),
+        F.col(spread).alias("_spread"),
+    )
     page_count = F.ceil(F.count(F.lit(1)) / F.lit(page_size)).cast("long")
-    sizes = df.groupBy(*[F.col(key).alias(f"_{key}") for key in keys]).agg(page_count.alias("pages"))
-    condition = reduce(and_, [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys])
-    joined = df.join(sizes, condition, "left").select(
-        *keys, "pages", F.pmod(spread, "pages").alias("page"), F.struct(*fields).alias("_record")
+    sizes = slim.groupBy(F.col("_key").alias("_same")).agg(page_count.alias("_pages"))
+    joined = slim.join(sizes, F.col("_key").eqNullSafe(F.col("_same"))).withColumn("_page", F.pmod("_spread", "_pages"))
+    listed = joined.groupBy("_key", "_page", "_pages").agg(
+        F.count(F.lit(1)).alias("_rows"), F.sort_array(F.collect_list("_record")).alias("_records")
     )
-    return joined.groupBy(*keys, "page", "pages").agg(
-        F.count(F.lit(1)).alias("num_records"), F.sort_array(F.collect_list("_record")).alias(name)
+    return listed.select(
+        *[F.col(f"_key.k{at}").alias(key) for at, key in enumerate(keys)],
+        F.col("_page").alias("page"),
+        F.col("_pages").alias("pages"),
+        F.col("_rows").alias("num_records"),
+        F.col("_records").alias(name),
     )

@@ -113,6 +113,9 @@ def summarise(
     """
     plain = [f"_g{at}" for at in range(len(groups))]
     named = df.select(*[F.col(name).alias(short) for name, short in zip(groups, plain, strict=True)], F.col(value).alias("_value"))
+    if not groups:
+        # One group of all rows, as a column that the optimizer doesn't see through: joins stay equi-joins.
+        plain, named = ["_g0"], named.withColumn("_g0", F.pmod(F.hash("_value"), F.lit(1)))
     cells = cell_counts(named, plain, "_value")
     totals = cells.groupBy(*plain).agg(F.sum("_n").alias("_total"))
     fractions = F.array(*[F.struct(F.lit(at).alias("at"), F.lit(float(q)).alias("q")) for at, q in enumerate(quantiles.values())])
@@ -144,7 +147,7 @@ def summarise(
         low, high = F.col(f"_v{2 * at}"), F.col(f"_v{2 * at + 1}")
         part = (F.col("_count") - 1) * F.lit(float(q))
         results.append(F.when(low == high, low).otherwise(low + (high - low) * (part - F.floor(part))).alias(name))
-    keys = [F.col(short).alias(name) for name, short in zip(groups, plain, strict=True)]
+    keys = [F.col(short).alias(name) for name, short in zip(groups, plain[: len(groups)], strict=True)]
     if not moments:
         return joined.select(*keys, *results)
     std = F.sqrt(F.try_divide("_spread", F.col("_count") - 1)).alias("std")

@@ -882,6 +882,20 @@ def filled_from_file(spark, folder):
     return filled.agg(*[F.sum(name).alias(name) for name in columns])
 
 
+@query
+def scan_slice(spark, folder):
+    """The first thousand rows of two columns: how many there are, and which columns were read."""
+    part = files.peek(files.read_parquet(spark, f"{folder}/events.parquet"), ["event_id", "ts"], 1000)
+    return part.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(",".join(part.columns)))
+
+
+@query
+def complete_leg_counts(spark, folder):
+    """Legs without any missing model input, per carrier."""
+    whole = features.complete_rows(legs(spark, folder, *SPEC.inputs), SPEC)
+    return whole.groupBy("carrier").agg(F.count(F.lit(1)).alias("num_legs"))
+
+
 @query
 def hash_sample(spark, folder):
     """A tenth of the legs by a hash of their key, the same in any run."""

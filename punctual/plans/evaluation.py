@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.ranking import numbered_by_digest
@@ -53,10 +53,9 @@ def permutation_importance(
     counts = scored.groupBy("feature").agg(
         F.count(F.lit(1)).alias("rows"), (F.count_if(F.col("label") == F.col("prediction")) / F.count(F.lit(1))).alias("accuracy")
     )
-    base = counts.filter("feature = ''").select(F.col("accuracy").alias("_base"))
-    # The base is one row.
-    joined = counts.filter("feature <> ''").crossJoin(F.broadcast(base))
-    return joined.select("feature", "rows", "accuracy", (F.col("_base") - F.col("accuracy")).alias("importance"))
+    # A row per column and one for the unchanged rows.
+    base = F.max(F.when(F.col("feature") == "", F.col("accuracy"))).over(Window.partitionBy())
+    return counts.withColumn("importance", base - F.col("accuracy")).filter("feature <> ''").select("feature", "rows", "accuracy", "importance")
 
 
 def segments(scored: DataFrame, dimensions: Sequence[str], min_rows: int = 1) -> DataFrame:

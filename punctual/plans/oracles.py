@@ -748,6 +748,13 @@ ORACLES: dict[str, str] = {
         )
         + " FROM legs"
     ),
+    "scan_slice": "SELECT least(count(*), 1000) AS rows, 'event_id,ts' AS columns FROM events",
+    "complete_leg_counts": _legs(
+        "SELECT carrier, count(*) AS num_legs FROM legs WHERE "
+        + " AND ".join(f"{c} IS NOT NULL" for c in [*FEATURE_NUMBERS, "leg_date", "dep_hhmm", "arr_hhmm", "dep_del15", "carrier", "operator",
+                       "origin_city", "dest_city", "origin_precipitation", "origin_clouds", "dest_precipitation", "dest_clouds"])
+        + " GROUP BY 1"
+    ),
     "hash_sample": _legs(f"SELECT leg_id, arr_delay FROM legs WHERE {SPLIT_BUCKET.replace('42:', '7:')} < 10"),
     "scaled_numbers": _legs(
         """, s AS (SELECT avg(dep_delay) AS a, stddev_samp(dep_delay) AS b, avg(elapsed) AS c, stddev_samp(elapsed) AS d FROM legs)

@@ -148,3 +148,10 @@ def test_rolling_and_prior(spark, rows):
     ]
     attached = rolling.attach_prior_average(df, ["k"], "d", "v")
     assert attached.count() == 5 and attached.filter("prior_avg = 20").count() == 2
+
+
+def test_lists_of_columns_with_any_name(spark):
+    df = spark.createDataFrame([("a", i, "x") for i in range(5)] + [(None, 9, "y")], "pages STRING, _pages LONG, page STRING")
+    got = lists.paged_records(df, ["pages"], ["_pages", "page"], 2, "_pages", "found").collect()
+    assert sorted((row[0] or "", row["num_records"]) for row in got) == [("", 1), ("a", 1), ("a", 2), ("a", 2)]
+    assert sum(len(row["found"]) for row in got) == 6
