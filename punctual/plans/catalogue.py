@@ -1114,9 +1114,10 @@ def _prepared(spark, folder):
     raw = features.labelled(features.raw_features(legs(spark, folder, *SPEC.inputs), SPEC))
     numbers = features.number_features(legs(spark, folder, *SPEC.number_inputs), SPEC)
     fills = features.fit_fills(model.train_test(numbers, KEY)[0], SPEC)
-    # Every stage of a fit reads its rows again: the joins and the feature build are done once.
-    training, test = (stored(spark, shaping.fill_nulls(part, fills), "features") for part in model.train_test(raw, KEY))
-    return training, test, fills
+    training, test = (shaping.fill_nulls(part, fills) for part in model.train_test(raw, KEY))
+    # Every stage of a fit reads its rows again: the joins and the feature build are done once. The test rows are read
+    # by later queries too, after what this one stored may be gone.
+    return stored(spark, training, "features"), test, fills
 
 
 def _trained(spark, folder):
