@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .arrow import give_back
+
 PLACE = ["group", "low", "high", "own"]
 
 
@@ -52,8 +54,10 @@ def in_block_pairs(dealt: DataFrame, work: Callable[[pa.Table], pa.RecordBatch |
                 at += length
         if held:
             made = work(pa.Table.from_batches(held))
+            held = []
             if made is not None:
                 yield made
+        give_back()
 
     placed = dealt.repartition(*keys).sortWithinPartitions(*keys)
     return placed.mapInArrow(run, schema)

@@ -26,12 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .arrow import with_mapped
+from .arrow import give_back, with_mapped
 
 # Bounds of the memos of one worker process. A full memo becomes the older one, which takes the place of the last older
 # one: what is in use moves on, and a worker holds twice as many entries at most.
-PIECE_MEMO = 65_536
-PAIR_MEMO = 131_072
+PIECE_MEMO = 49_152
+PAIR_MEMO = 65_536
 # Longer pieces are not memoised.
 PIECE_BYTES = 32
 
@@ -74,6 +74,11 @@ class Tokenizer:
             prefixes = (self.ranks.get(token[:n]) for n in range(len(token) - 1, 0, -1))
             self.shorter[rank] = next((prefix for prefix in prefixes if prefix in self.halves), None)
         self.automaton.make_automaton()
+        # By rank from here on: lists take a third of the memory that the mappings took while they were built.
+        size = max(self.tokens, default=-1) + 1
+        for name in ("tokens", "packed", "halves", "lengths", "shorter"):
+            table = getattr(self, name)
+            setattr(self, name, [table.get(rank) for rank in range(size)])
 
     def _last_merge(self, rank: int) -> tuple[int, int] | None:
         """The two tokens that merging joins last into this one; all of lower rank are known by now."""
@@ -216,5 +221,6 @@ def encode_and_decode(
             packed = [both.encode(value.as_py() or "") for value in batch.column(text)]
             made = [pa.array(packed, pa.binary()), pa.array([both.decode(value) for value in packed], pa.binary())]
             yield pa.RecordBatch.from_arrays([*(batch.column(name) for name in kept), *made], [*kept, ids, decoded])
+        give_back()
 
     return df.mapInArrow(rows, T.StructType([*(df.schema[name] for name in kept), *added]))

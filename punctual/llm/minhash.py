@@ -42,6 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stored
+from .arrow import give_back
 from .blocks import block_pairs, in_block_pairs
 from .components import connected
 from .hashing import binary_texts, mix, word_hashes
@@ -171,6 +172,7 @@ def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.astype(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column("_dup_node").slice(at, upto - at), lists], ["node", "bands"])
             at = upto
+    give_back()
 
 
 def _verified(similarity: float):
@@ -191,6 +193,8 @@ def _verified(similarity: float):
             texts = zip(binary_texts(batch.column("first_text")), binary_texts(batch.column("second_text")))
             good = [jaccard(known(a, x), known(b, y)) >= similarity for a, b, (x, y) in zip(first, second, texts)]
             yield batch.select(["first", "second"]).filter(pa.array(good, pa.bool_()))
+        recent.clear()
+        give_back()
 
     return run
 
