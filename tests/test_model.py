@@ -1,5 +1,7 @@
 """Models on data with a clear signal: evening legs of one carrier are late."""
 
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -169,3 +171,17 @@ def test_word_flags_take_the_place_of_list_texts(legs):
     names = ["clouds_few", "clouds_broken", "clouds_overcast"]
     fitted = model.fit(SPEC, raw, model.boosted_trees(depth=2, iterations=2), word_flags=names)
     assert model.score(fitted, raw).filter("prediction IS NULL").count() == 0
+
+
+def test_ranges_are_fitted_side_by_side(spark, legs, tmp_path, monkeypatch):
+    raw = features.labelled(features.raw_features(legs, SPEC))
+    forest, fit, together = model.random_forest(trees=2, depth=3, seed=1), model.fit, threading.Barrier(2)
+    alone = model.compare_ranges(raw, SPEC, "id", forest, str(tmp_path / "1"), months=4, step=4, parallelism=1).collect()
+
+    def waiting(*arguments):
+        together.wait(timeout=60)  # comes back only once two fits have begun
+        return fit(*arguments)
+
+    monkeypatch.setattr(model, "fit", waiting)
+    ranges = model.compare_ranges(raw, SPEC, "id", forest, str(tmp_path / "2"), months=4, step=4, parallelism=2).collect()
+    assert ranges == alone and len([r for r in ranges if r["accuracy"] is not None]) == 4
