@@ -376,7 +376,8 @@ def legs_in_timeframes(spark, folder):
     A response reaches from a day before the first departure of its timeframe to a day after the last. Every nation
     also has one response over fifty years.
     """
-    view = legs(spark, folder, "origin_city", "dest_city", "dep_time", "arr_delay")
+    # Read by the timeframes and by the count, so the joins behind it are done once.
+    view = stored(spark, legs(spark, folder, "origin_city", "dest_city", "dep_time", "arr_delay"), "frame-legs")
     frames = timeframes.station_timeframes(view, {"Origin": "origin_city", "Destination": "dest_city"}, "dep_time")
     responses = frames.select(
         "station",
@@ -392,8 +393,10 @@ def legs_in_timeframes(spark, folder):
         F.expr("TIMESTAMP_NTZ'1960-01-01 00:00:00'").alias("first"),
         F.expr("TIMESTAMP_NTZ'2010-01-01 00:00:00'").alias("last"),
     )
+    # Of a stored table Spark knows the size: few responses go to the legs, not the legs, once per width, to the responses.
+    known = stored(spark, responses.unionByName(forever), "responses")
     covered = intervals.join_containing(
-        view.select("origin_city", "dep_time", "arr_delay"), responses.unionByName(forever), {"origin_city": "station"},
+        view.select("origin_city", "dep_time", "arr_delay"), known, {"origin_city": "station"},
         "dep_time", "first", "last", {"role": "role", "window_start": "window_start"},
     )
     return covered.groupBy(F.col("origin_city").alias("station"), "role", "window_start").agg(

@@ -71,3 +71,9 @@ def test_roles_share_one_pass(spark):
     assert physical.count("EqualTo(event_type,purchase)") <= 5
     frames = plan(queries()["station_timeframes"](spark, FOLDER)).split("== Physical Plan ==")[1]
     assert frames.count("SortMergeJoin") + frames.count("BroadcastHashJoin") <= 5
+
+
+def test_legs_meet_stored_responses_without_a_shuffle(spark):
+    plan = queries()["legs_in_timeframes"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan  # the size of the responses is known
+    assert "l_orderkey" not in plan  # the legs are joined once, before
