@@ -60,6 +60,16 @@ def test_clean_texts_are_kept(spark, name, lang, kept):
     assert hits is None if lang not in quality.STOP_WORDS else (hits >= 2) == (name == "english")
 
 
+@pytest.mark.parametrize("lang", ["pl", None])
+def test_stop_words_count_without_a_list(spark, lang):
+    junk = " ".join(f"buy{chr(97 + i)} cheapest{chr(97 + i)}" for i in range(20))
+    texts = [junk, CLEAN["english"], CLEAN["russian"]]
+    df = spark.createDataFrame([(i, text, lang) for i, text in enumerate(texts)], "doc_id long, text string, lang string")
+    got = {row.doc_id: (row.kept, row.unlisted_stop_word_hits) for row in quality.judge(df).collect()}
+    assert got[0] == (False, 0) and got[1][0] and got[1][1] >= 2 and got[2] == (True, None)
+    assert [row.doc_id for row in quality.passing(df).collect()] == [1, 2]
+
+
 @pytest.mark.parametrize("clash", ["_range", "_rows", "_start", "_inside", "_r_0"])
 def test_helper_names_may_be_columns(spark, clash):
     df = spark.range(200).select("id", (F.col("id") % 3).cast("string").alias("source"), (F.col("id") * 2).alias(clash))
