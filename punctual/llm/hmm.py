@@ -37,6 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stored
+from .arrow import give_back
 from .hashing import binary_texts, mix, word_hashes
 
 CLASSES = 1 << 14
@@ -48,7 +49,7 @@ RESCALE = 8
 SPLIT_BYTES = 24 << 20
 COUNT_BYTES = 16 << 20
 FLUSH_WORDS = 2_000_000
-BATCH_WORDS = 1 << 18
+BATCH_WORDS = 1 << 17
 
 
 class Model(NamedTuple):
@@ -150,7 +151,11 @@ def expected_counts(model: Model, classes: np.ndarray, counts: np.ndarray) -> Mo
     start, step, emit = np.zeros(states), np.zeros((states, states)), np.zeros((PAD + 1, states))
     for at, upto, part in _batches(classes, counts):
         laid = segments(part, counts[at:upto])
-        product, _ = transfer(model, table, laid.ids)
+        # A text of one row hands on no vector.
+        handing = np.ones(len(laid.ids), bool)
+        handing[laid.first[laid.rows == 1]] = False
+        product = np.ones((len(laid.ids), states, states))
+        product[handing], _ = transfer(model, table, laid.ids[handing])
         before, _ = chain(model, laid, product)
         # Backward vectors after each row, from the last row of every text to its first.
         after = np.ones_like(before)
@@ -162,24 +167,28 @@ def expected_counts(model: Model, classes: np.ndarray, counts: np.ndarray) -> Mo
             vector = np.einsum("nkj,nj->nk", product[row], after[row])
             after[row - 1] = vector / vector.max(axis=1)[:, None]
         # Inside the rows, all at once.
+        seen = table[laid.ids.T]
         forward = np.empty((SEGMENT + 1, len(laid.ids), states))
         forward[0] = before
         for at_step in range(SEGMENT):
-            vector = (forward[at_step] @ model.step) * table[laid.ids[:, at_step]]
-            forward[at_step + 1] = vector / vector.sum(axis=1)[:, None]
+            vector = (forward[at_step] @ model.step) * seen[at_step]
+            forward[at_step + 1] = vector / vector.sum(axis=1)[:, None] if at_step % RESCALE == RESCALE - 1 else vector
         backward = after
         for at_step in range(SEGMENT - 1, -1, -1):
-            column = laid.ids[:, at_step]
             gamma = forward[at_step + 1] * backward
-            gamma /= gamma.sum(axis=1)[:, None]
-            for state in range(states):
-                emit[:, state] += np.bincount(column, gamma[:, state], PAD + 1)
-            coming = table[column] * backward
-            real = column != PAD
+            # It takes the place of the forward vectors, which no earlier step needs.
+            np.divide(gamma, gamma.sum(axis=1)[:, None], out=forward[at_step + 1])
+            coming = seen[at_step] * backward
+            real = laid.ids[:, at_step] != PAD
             backward = coming @ model.step.T
             weight = (forward[at_step] * backward).sum(axis=1)
             step += (forward[at_step] * (real / weight)[:, None]).T @ coming * model.step
-            backward /= backward.max(axis=1)[:, None]
+            if at_step % RESCALE == 0:
+                backward /= backward.max(axis=1)[:, None]
+        # All steps at once: a count writes a place for every class, however few rows it adds up.
+        column = laid.ids.T.ravel()
+        for state in range(states):
+            emit[:, state] += np.bincount(column, forward[1:, :, state].ravel(), PAD + 1)
         begin = before[laid.first] * backward[laid.first]
         start += (begin / begin.sum(axis=1)[:, None]).sum(axis=0)
     return Model(start, step, emit[:PAD])
@@ -257,6 +266,8 @@ def _asked_words(splits: int, groups: int):
                 held, size = [], 0
         if held:
             yield from packed(*map(np.concatenate, zip(*held)))
+        del held
+        give_back()
 
     return run
 
@@ -352,6 +363,7 @@ def _pass(training: DataFrame, model: Model) -> Model:
                 [pa.array(range(len(parts)), pa.int32()), pa.array([salt] * len(parts), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())],
                 ["piece", "salt", "value"],
             )
+        give_back()
 
     sums = _summed(training.select("text").mapInArrow(rows, "piece int, salt int, value binary"))
     if not sums:

@@ -113,6 +113,18 @@ def test_likelihood_equals_plain_forward_recursion():
         assert got[place] == pytest.approx(total, rel=1e-9)
 
 
+def test_expected_counts_leave_out_idle_work(monkeypatch):
+    chance = np.random.default_rng(6)
+    model, counts, rows, counted = hmm.first_model(chance.random(hmm.PAD), 3, 4), np.array([3, 200, 0, 100]), [], []
+    transfer, bincount = hmm.transfer, np.bincount
+    monkeypatch.setattr(hmm, "transfer", lambda model, table, ids: rows.append(len(ids)) or transfer(model, table, ids))
+    monkeypatch.setattr(hmm.np, "bincount", lambda *given: counted.append(len(given[0])) or bincount(*given))
+    got = hmm.expected_counts(model, chance.integers(0, 9, counts.sum()).astype(np.int32), counts)
+    assert rows == [2]  # products only for the text of two segments
+    assert len(counted) == 3  # one count per state, not per state and step
+    np.testing.assert_allclose([got.emit.sum(), got.step.sum(), got.start.sum()], [307, 307, 4])
+
+
 def test_expected_counts_equal_plain_forward_backward():
     chance = np.random.default_rng(5)
     model = hmm.first_model(chance.random(hmm.PAD), 2, 4)
