@@ -1,4 +1,5 @@
 import datetime as dt
+import functools
 import random
 
 import pytest
@@ -128,3 +129,26 @@ def test_equals_batch_join_however_a_station_is_dealt(spark, tmp_path, parts):
     batch = asof.join_asof(left, right, [asof.Role("station", "at")], "place", "when", {"speed": "wind", "sky": "cloud"}, "seen_at", tolerance_seconds=900)
     want = sorted((r.id, r.station, r.at, r.note, r.wind, r.cloud, r.seen_at) for r in batch.collect())
     assert feed.rows() == want and batch.filter(F.col("wind").isNotNull()).count() > 40
+
+
+def test_many_stations_share_few_states(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(live, "join_live", functools.partial(live.join_live, buckets=3))
+    monkeypatch.setattr(live, "ROWS_PER_CALL", 7)
+    chance = random.Random(12)
+    legs = [(i, f"S{chance.randrange(90)}", minutes(chance.randrange(600)), "x", None) for i in range(300)]
+    seen = [(f"S{chance.randrange(100)}", minutes(chance.randrange(60) * 10), chance.choice([None, 1.5, 2.5]), chance.choice([None, "clear"])) for _ in range(900)]
+    feed = Feed(spark, str(tmp_path))
+    for low in range(0, 720, 120):
+        feed.add(
+            [row for row in legs if low <= (row[2] - START).total_seconds() / 60 < low + 120],
+            [row for row in seen if low - 120 <= (row[1] - START).total_seconds() / 60 < low],
+        )
+    feed.run()
+    until = min(max(r[2] for r in legs), max(r[1] for r in seen)) - dt.timedelta(minutes=30)
+    assert feed.rows() == expected(legs, seen, 3600, until) and len(feed.rows()) > 200
+    state = spark.read.format("statestore").option("stateVarName", "observed").option("flattenCollectionTypes", True).load(f"{tmp_path}/state")
+    assert state.select("key").distinct().count() <= 3
+    # Silent stations are emptied, though others of their bucket go on.
+    feed.add([(9_999, "S1", minutes(5000), "", None)], [("S1", minutes(5000), 1.0, "few")])
+    feed.run()
+    assert feed.held("observed") == 1 and feed.held("waiting") == 1
