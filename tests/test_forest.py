@@ -30,7 +30,7 @@ def nodes(fitted):
 def test_same_tree_as_spark_ml_where_nothing_is_drawn(rows, monkeypatch):
     monkeypatch.setattr(forest, "BLOCK_ROWS", 256)
     plain = {"bootstrap": False, "featureSubsetStrategy": "all", "seed": 4}
-    mine = model.random_forest(2, 6, **plain)
+    mine = model.packed_forest(2, 6, **plain)
     assert isinstance(mine, forest.EntryForest)
     theirs = RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=2, maxDepth=6, **plain)
     found, expected = mine.fit(rows), theirs.fit(rows)
@@ -41,7 +41,7 @@ def test_same_tree_as_spark_ml_where_nothing_is_drawn(rows, monkeypatch):
 
 
 def test_draws(rows, tmp_path):
-    mine = model.random_forest(30, 5, seed=4)
+    mine = model.packed_forest(30, 5, seed=4)
     found = mine.fit(rows)
     assert found.getNumTrees == 30 and len({tree.toDebugString.split("\n", 1)[1] for tree in found.trees}) > 25
     again = [[r["probability"][1] for r in m.transform(rows).orderBy("id").collect()] for m in (found, mine.fit(rows))]
@@ -55,9 +55,9 @@ def test_draws(rows, tmp_path):
 
 
 def test_little_memory_gives_the_same_trees(rows, monkeypatch):
-    whole = model.random_forest(6, 4, seed=2).fit(rows)
+    whole = model.packed_forest(6, 4, seed=2).fit(rows)
     monkeypatch.setattr(forest.EntryForest, "getMaxMemoryInMB", lambda self: 0)
-    assert nodes(model.random_forest(6, 4, seed=2).fit(rows)) == nodes(whole)
+    assert nodes(model.packed_forest(6, 4, seed=2).fit(rows)) == nodes(whole)
 
 
 def test_a_row_is_kept_by_its_entries_and_a_byte_per_tree(rows, monkeypatch):
