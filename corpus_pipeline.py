@@ -38,10 +38,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     rank_path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
-    decoded = bpe.encode_and_decode(docs, rank_path, pattern)
+    encoded = bpe.encode_and_decode(docs, rank_path, pattern, decoded="decoded_bytes", sizes_only=True)
     n_tokens = (F.octet_length("ids") / 4).cast("long")
-    size = F.octet_length("decoded").cast("long")
-    return decoded.withColumns({"n_tokens": n_tokens, "decoded_bytes": size}).drop("decoded")
+    kept = [name for name in docs.columns if name not in ("ids", "n_tokens", "decoded_bytes")]
+    return encoded.withColumn("n_tokens", n_tokens).select(*kept, "ids", "n_tokens", "decoded_bytes")
 
 
 STAGES = [

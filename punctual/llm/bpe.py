@@ -34,6 +34,8 @@ PIECE_MEMO = 49_152
 PAIR_MEMO = 65_536
 # Longer pieces are not memoised.
 PIECE_BYTES = 32
+# Texts that are encoded and decoded at a time.
+PORTION_ROWS = 64
 
 
 class Tokenizer:
@@ -209,18 +211,32 @@ def decode(df: DataFrame, rank_path: str, pattern: str, ids: str = "ids", decode
 
 
 def encode_and_decode(
-    df: DataFrame, rank_path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str = "decoded"
+    df: DataFrame,
+    rank_path: str,
+    pattern: str,
+    text: str = "text",
+    ids: str = "ids",
+    decoded: str = "decoded",
+    sizes_only: bool = False,
 ) -> DataFrame:
-    """Add ``ids`` and ``decoded`` in one pass: one worker and one tokenizer per task, where two passes take two."""
+    """Add ``ids`` and ``decoded`` in one pass: one worker and one tokenizer per task, where two passes take two.
+
+    With ``sizes_only`` every text is decoded all the same, but ``decoded`` is the number of its bytes (long). Rows go
+    on in portions of ``PORTION_ROWS``, so a worker holds the ids and decoded bytes of so many texts.
+    """
     kept = [name for name in df.columns if name not in (ids, decoded)]
-    added = [T.StructField(name, T.BinaryType()) for name in (ids, decoded)]
+    kind, arrow_kind = (T.LongType(), pa.int64()) if sizes_only else (T.BinaryType(), pa.binary())
+    added = [T.StructField(ids, T.BinaryType()), T.StructField(decoded, kind)]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = tokenizer(rank_path, pattern)
-        for batch in batches:
-            packed = [both.encode(value.as_py() or "") for value in batch.column(text)]
-            made = [pa.array(packed, pa.binary()), pa.array([both.decode(value) for value in packed], pa.binary())]
-            yield pa.RecordBatch.from_arrays([*(batch.column(name) for name in kept), *made], [*kept, ids, decoded])
+        for whole in batches:
+            for at in range(0, whole.num_rows, PORTION_ROWS):
+                batch = whole.slice(at, PORTION_ROWS)
+                packed = [both.encode(value.as_py() or "") for value in batch.column(text)]
+                texts = (both.decode(value) for value in packed)
+                made = [pa.array(packed, pa.binary()), pa.array(map(len, texts) if sizes_only else texts, arrow_kind)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(name) for name in kept), *made], [*kept, ids, decoded])
         give_back()
 
     return df.mapInArrow(rows, T.StructType([*(df.schema[name] for name in kept), *added]))

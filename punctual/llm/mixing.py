@@ -10,7 +10,7 @@
 4. Of the documents of one size, the first in a seeded order are taken.
 
 Only counts by size meet in a task: one row per different size of a source. The choice among equal sizes ranks rows in
-ranges of a hash (``ranks``), so no source and no size is ever gathered.
+ranges of a hash (``ranks``), so no source and no size is ever gathered. What is ranked are sizes and keys, not texts.
 
 Results in edge cases: a null text has size 0; a null source is a source like any other; documents without words are
 taken as often as whole rounds say, and cost nothing; equal rows are single documents; an empty table gives an empty
@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stored
 from .ranks import ranked_in_groups, unit_interval
 
 # The dynamic program covers budgets up to so many words; larger rests are filled greedily down to it.
@@ -132,33 +133,59 @@ def fit(
 ) -> DataFrame:
     """Add ``size``, ``source_size``, ``target`` and ``copies`` (how often the mix takes the document).
 
-    ``size`` counts the words of a document, ``keys`` tell documents apart for the seeded order.
+    ``size`` counts the words of a document, ``keys`` tell documents apart for the seeded order. Sizes and places in that
+    order are stored and ranked without the documents, which then meet one row per source and size: its rounds and the
+    place of the last document that is taken once more.
     """
+    spark = docs.sparkSession
     base = docs.drop("size", "source_size", "target", "copies")
     sized = base.withColumn("size", size.cast("long"))
-    counts = sized.groupBy(F.col(source).alias("_mix_name"), F.col("size").alias("_mix_size")).agg(
-        F.count(F.lit(1)).alias("_mix_count")
-    )
+    hashed = F.xxhash64(F.lit(seed), *(F.col(key) for key in keys))
+    place = {"_mix_at": unit_interval(hashed), "_mix_hash": hashed}
+    place |= {f"_mix_key_{at}": F.col(key) for at, key in enumerate(keys)}
+    places = [column.alias(name) for name, column in place.items()]
+    slim = stored(spark, sized.select(F.col(source).alias("_mix_name"), F.col("size").alias("_mix_size"), *places), "mix-sizes")
+
+    counts = slim.groupBy("_mix_name", "_mix_size").agg(F.count(F.lit(1)).alias("_mix_count"))
     totals = counts.groupBy("_mix_name").agg(F.sum(F.col("_mix_size") * F.col("_mix_count")).alias("source_size"))
     budgets = targets(totals, "_mix_name", weight, ceiling)
-    known = budgets.select(F.col("_mix_name").alias("_mix_key"), "source_size", "target")
-    histogram = counts.join(known, F.col("_mix_name").eqNullSafe(F.col("_mix_key"))).drop("_mix_key")
-    plan = histogram.groupBy("_mix_name").applyInPandas(
+    known = budgets.select(F.col("_mix_name").alias("_mix_of"), "source_size", "target")
+    of_source = F.col("_mix_name").eqNullSafe(F.col("_mix_of"))
+    spent = counts.join(known, of_source).drop("_mix_of").groupBy("_mix_name").applyInPandas(
         _fit_source, f"_mix_name {dict(docs.dtypes)[source]}, _mix_size long, _mix_rounds int, _mix_extra long"
     )
-    hashed = F.xxhash64(F.lit(seed), *(F.col(key) for key in keys))
-    seeded = sized.withColumns({"_mix_hash": hashed, "_mix_at": unit_interval(hashed)})
-    ranked = ranked_in_groups(seeded, [source, "size"], "_mix_at", ["_mix_hash", *keys], "_mix_rank", "_mix_rows")
-    chosen = ranked.join(
+    ranked = ranked_in_groups(slim, ["_mix_name", "_mix_size"], "_mix_at", list(place)[1:], "_mix_rank", "_mix_rows")
+    ends = ranked.groupBy(
+        F.col("_mix_name").alias("_mix_in"), F.col("_mix_size").alias("_mix_long"), F.struct(*place).alias("_mix_last")
+    ).agg(F.min("_mix_rank").alias("_mix_first"), F.count(F.lit(1)).alias("_mix_tied"))
+    is_end = (
+        F.col("_mix_name").eqNullSafe(F.col("_mix_in"))
+        & (F.col("_mix_size") == F.col("_mix_long"))
+        & F.col("_mix_extra").between(F.col("_mix_first"), F.col("_mix_first") + F.col("_mix_tied") - 1)
+    )
+    # Of a stored table Spark knows the size: where it is small it goes to the documents.
+    plan = stored(
+        spark,
+        spent.join(ends, is_end, "left")
+        .withColumn("_mix_open", F.col("_mix_extra") - F.col("_mix_first") + 1)
+        .join(known, of_source)
+        .select("_mix_name", "_mix_size", "_mix_rounds", "_mix_last", "_mix_tied", "_mix_open", "source_size", "target"),
+        "mix-plan",
+    )
+
+    own, last = F.col("_mix_own"), F.col("_mix_last")
+    planned = sized.withColumn("_mix_own", F.struct(*places)).join(
         plan, F.col(source).eqNullSafe(F.col("_mix_name")) & (F.col("size") == F.col("_mix_size"))
-    ).drop("_mix_name")
-    named = known.withColumnRenamed("_mix_key", "_mix_name")
-    copies = F.col("_mix_rounds") + (F.col("_mix_rank") <= F.col("_mix_extra")).cast("int")
-    return (
-        chosen.join(named, F.col(source).eqNullSafe(F.col("_mix_name")))
-        .withColumn("copies", copies)
-        .select(*base.columns, "size", "source_size", "target", "copies")
     )
+    chosen = planned.withColumn("_mix_more", F.coalesce(own <= last, F.lit(False)))
+    if not plan.filter("_mix_open < _mix_tied").isEmpty():
+        # Of rows equal in all keys at the last place, only some are taken.
+        some = F.coalesce((own == last) & (F.col("_mix_open") < F.col("_mix_tied")), F.lit(False))
+        number = F.row_number().over(Window.partitionBy(source, "size", "_mix_own").orderBy(F.lit(0)))
+        cut = planned.filter(some).withColumn("_mix_more", number <= F.col("_mix_open"))
+        chosen = chosen.filter(~some).unionByName(cut)
+    copies = F.col("_mix_rounds") + F.col("_mix_more").cast("int")
+    return chosen.withColumn("copies", copies).select(*base.columns, "size", "source_size", "target", "copies")
 
 
 def mix(docs: DataFrame, source: str, size: Column, keys: list[str], weight: Column, ceiling: int = 3, seed: int = 0) -> DataFrame:

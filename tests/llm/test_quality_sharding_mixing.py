@@ -229,3 +229,25 @@ def test_mixing_awkward_rows(spark):
     mixed = mixing.mix(docs, *args)
     assert mixed.columns == docs.columns and mixed.count() == sum(row.copies for row in fitted)
     assert mixing.fit(empty(spark), *args).count() == 0
+
+
+def test_mixing_leaves_documents_where_they_are(spark):
+    docs = spark.createDataFrame([(at, "w " * (at % 5 + 1), f"s{at % 3}") for at in range(300)], "id long, text string, source string")
+    mixed = mixing.mix(docs, "source", word_count(F.col("text")), ["id"], mixing.cycling_weight([5, 2, 1]))
+    plan = mixed._jdf.queryExecution().executedPlan().toString()  # before each sort and join moved whole rows
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and "Window" not in plan
+
+
+def test_mixing_takes_some_of_the_rows_with_one_key(spark):
+    rows = [(key, name, length) for name, number in (("a", 40), (None, 90)) for length in (3, 4) for key in [None, 1, 2] for _ in range(number)]
+    docs = spark.createDataFrame(rows, "id long, source string, length int")
+    fitted = mixing.fit(docs, "source", F.col("length"), ["id"], mixing.cycling_weight([5, 2, 1])).collect()
+    assert Counter((row.id, row.source, row.length) for row in fitted) == Counter(rows)
+    cut = defaultdict(lambda: defaultdict(set))
+    for row in fitted:
+        cut[row.source, row.length][row.id].add(row.copies)
+    assert all(sum(len(copies) > 1 for copies in by_key.values()) <= 1 for by_key in cut.values())
+    assert any(len(copies) > 1 for by_key in cut.values() for copies in by_key.values())
+    for name in ("a", None):
+        taken = sum(row.copies * row.size for row in fitted if row.source == name)
+        assert abs(taken - next(row.target for row in fitted if row.source == name)) <= 3

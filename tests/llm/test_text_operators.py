@@ -270,3 +270,12 @@ def test_near_duplicates_query(spark):
     docs = [(row.doc_id, row.text) for row in spark.read.parquet(f"{SMALL}/documents.parquet").orderBy("doc_id").collect()]
     got = {row.doc_id: row.class_id for row in queries.near_duplicates(spark, SMALL).collect()}
     assert [got[key] for key, _ in docs] == classes(docs)
+
+
+def test_bpe_sizes_of_decoded_texts(spark):
+    docs = awkward(spark)
+    whole = bpe.encode_and_decode(docs, RANK_PATH, public_tokenizers.PATTERN)
+    sizes = bpe.encode_and_decode(docs, RANK_PATH, public_tokenizers.PATTERN, decoded="n", sizes_only=True)
+    assert sizes.columns == [*docs.columns, "ids", "n"] and dict(sizes.dtypes)["n"] == "bigint"
+    assert Counter((r.doc_id, bytes(r.ids), r.n) for r in sizes.collect()) == Counter(
+        (r.doc_id, bytes(r.ids), len(r.decoded)) for r in whole.collect())
