@@ -25,7 +25,7 @@ from punctual.session import stored, tune
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    return quality.passing(docs)
+    return quality.passing(docs, rules=quality.EVERY_TEXT_RULES)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

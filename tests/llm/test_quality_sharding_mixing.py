@@ -70,6 +70,20 @@ def test_stop_words_count_without_a_list(spark, lang):
     assert [row.doc_id for row in quality.passing(df).collect()] == [1, 2]
 
 
+def test_every_document_is_asked_for_stop_words(spark, tmp_path):
+    import corpus_pipeline
+
+    junk = " ".join(f"купить{i} дёшево{i}" for i in range(20))
+    cases = [(junk, None, False), (junk, "ru", False), (junk, "en", False), (CLEAN["english"], "en", True),
+             (CLEAN["english"], None, True), (CLEAN["english"], "pl", True), (CLEAN["english"], "fr", False)]
+    rows = [(i, text, lang) for i, (text, lang, _) in enumerate(cases)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    judged = {row.doc_id: row.kept for row in queries.quality_rules(spark, str(tmp_path)).collect()}
+    assert judged == {i: kept for i, (_, _, kept) in enumerate(cases)}
+    passed = corpus_pipeline.keep_good(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
+    assert {row.doc_id for row in passed.collect()} == {i for i, kept in judged.items() if kept}
+
+
 @pytest.mark.parametrize("clash", ["_range", "_rows", "_start", "_inside", "_r_0"])
 def test_helper_names_may_be_columns(spark, clash):
     df = spark.range(200).select("id", (F.col("id") % 3).cast("string").alias("source"), (F.col("id") * 2).alias(clash))
