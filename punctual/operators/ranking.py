@@ -30,17 +30,20 @@ def top_n(df: DataFrame, metric: str, n: int, ties: Sequence[str]) -> DataFrame:
 
 
 def numbered_by_digest(
-    df: DataFrame, groups: Sequence[str], digest: str, number: str, digits: int = 3
+    df: DataFrame, groups: Sequence[str], digest: str | Column, number: str, digits: int = 3
 ) -> DataFrame:
-    """Number the rows of each group from 1 in the order of a hexadecimal hash column, however many rows there are.
+    """Number the rows of each group from 1 in the order of a hexadecimal hash, however many rows there are.
 
     The leading ``digits`` of the hash cut a group into 16 to that power equal parts; rows are numbered inside their
-    part, after the rows of the parts before it. Rows with equal hashes come in no fixed order.
+    part, after the rows of the parts before it. Rows with equal hashes come in no fixed order. The hash is a column, or an
+    expression of columns: then it is computed again behind the shuffle, which moves the number of the part in its place.
     """
-    parted = df.withColumn("_part", F.substring(digest, 1, digits))
+    whole = F.col(digest) if isinstance(digest, str) else digest
+    parted = df.withColumn("_part", F.conv(F.substring(whole, 1, digits), 16, 10).cast("int"))
     before = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = parted.groupBy(*groups, "_part").agg(F.count(F.lit(1)).alias("_rows"))
     starts = sizes.select(*groups, "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
-    inside = F.row_number().over(Window.partitionBy(*groups, "_part").orderBy(digest))
-    joined = parted.withColumn("_inside", inside).join(starts, [*groups, "_part"])
+    dealt = parted.repartition(*groups, "_part").withColumn("_order", whole)
+    inside = F.row_number().over(Window.partitionBy(*groups, "_part").orderBy("_order"))
+    joined = dealt.withColumn("_inside", inside).drop("_order").join(starts, [*groups, "_part"])
     return joined.withColumn(number, F.col("_start") + F.col("_inside")).drop("_part", "_inside", "_start")

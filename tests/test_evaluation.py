@@ -31,6 +31,15 @@ def test_numbers_follow_the_hash(spark):
         assert [n for _, n in mine] == list(range(1, len(mine) + 1))
 
 
+def test_a_hash_given_as_an_expression_is_not_moved(spark):
+    df = spark.range(3000).select((F.col("id") % 3).alias("g"), "id")
+    numbered = numbered_by_digest(df, ["g"], F.md5(F.col("id").cast("string")), "n", digits=2)
+    plan = numbered._jdf.queryExecution().executedPlan().toString().split("Exchange hashpartitioning(", 1)
+    assert "md5(" in plan[0] and "md5(" not in plan[1].replace("substring(md5(", "")
+    by_column = numbered_by_digest(df.withColumn("d", F.md5(F.col("id").cast("string"))), ["g"], "d", "n", digits=2)
+    assert sorted(numbered.collect()) == sorted(by_column.select("g", "id", "n").collect())
+
+
 def test_permutation_is_one(spark):
     rows, df = table(spark)
     got = evaluation.permuted_values(df, "id", ["minute", "kind"], seed=3).collect()
